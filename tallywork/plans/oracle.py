@@ -107,6 +107,40 @@ _TOP_WORDS = _with(
     f"ORDER BY cnt DESC, token LIMIT {rules.TOP_K}",
 )
 
+_RANGES = f"""
+steps AS (
+  SELECT step, '{SOURCES[0]}-' || last AS "range", last
+  FROM (SELECT unnest(range({len(SOURCES)})) AS step,
+               unnest([{_SOURCE_LIST}]) AS last)),
+covered AS (
+  SELECT whole."range", part.last AS source FROM steps AS whole JOIN steps AS part
+  ON part.step <= whole.step)"""
+
+_SERIES = _with(
+    f"""{_PAIRS},{_RANGES},
+tokens AS (SELECT source, unnest(toks) AS token FROM listed),
+token_counts AS (
+  SELECT "range", token, count(*) AS cnt FROM tokens JOIN covered USING (source) GROUP BY ALL),
+pair_counts AS (
+  SELECT "range", "left", "right", count(*) AS cnt
+  FROM pairs JOIN covered USING (source) GROUP BY ALL),
+top_words AS (
+  SELECT "range", token, cnt FROM token_counts WHERE {_word('token')}
+  QUALIFY row_number() OVER (PARTITION BY "range" ORDER BY cnt DESC, token) <= {rules.TOP_K}),
+top_pairs AS (
+  SELECT "range", "left", "right", cnt FROM pair_counts WHERE {_NUMBER_WORD}
+  QUALIFY row_number() OVER (
+    PARTITION BY "range" ORDER BY cnt DESC, "left", "right") <= {rules.TOP_K})""",
+    f"""SELECT 'token_counts' AS job, "range", token AS key, cnt FROM token_counts
+UNION ALL SELECT 'words_with_count', "range", token, cnt FROM token_counts
+  WHERE {_word('token')} AND cnt = {COUNT_WANTED}
+UNION ALL SELECT 'top_words', "range", token, cnt FROM top_words
+UNION ALL SELECT 'pair_counts', "range", "left" || ':' || "right", cnt FROM pair_counts
+UNION ALL SELECT 'word_pairs_with_count', "range", "left" || ':' || "right", cnt FROM pair_counts
+  WHERE {_BOTH_WORDS} AND cnt = {COUNT_WANTED}
+UNION ALL SELECT 'top_number_word_pairs', "range", "left" || ':' || "right", cnt FROM top_pairs""",
+)
+
 ORACLE: dict[str, str] = {
     "scan_lines": _with(_LINES, "SELECT value FROM lines"),
     "scan_lines_recursive": _with(_LINES, "SELECT value FROM lines"),
@@ -123,10 +157,17 @@ ORACLE: dict[str, str] = {
     "write_counts_tuple": _TOKEN_COUNTS,
     "write_topk": _TOP_WORDS,
     "write_layout": _with(
-        _TOKENS,
-        f"SELECT 'token_counts' AS job, '{SOURCES[0]}-{SOURCES[-1]}' AS \"range\", token, "
-        f"count(*) AS cnt FROM tokens WHERE source IN ({_SOURCE_LIST}) GROUP BY token",
+        f"""{_TOKENS},
+counts AS (
+  SELECT token, count(*) AS cnt FROM tokens WHERE source IN ({_SOURCE_LIST}) GROUP BY token),
+outputs AS (
+  SELECT 'token_counts' AS job, token AS key, cnt FROM counts
+  UNION ALL
+  SELECT 'words_with_count', token, cnt FROM counts
+  WHERE {_word('token')} AND cnt = {COUNT_WANTED})""",
+        f"SELECT job, '{SOURCES[0]}-{SOURCES[-1]}' AS \"range\", key, cnt FROM outputs",
     ),
+    "write_series": _SERIES,
     "tokenize": _with(
         _LINES,
         "SELECT doc_id, array_to_string("

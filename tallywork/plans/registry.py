@@ -16,8 +16,9 @@ from tallywork import functions as fn
 from tallywork.functions import rules
 from tallywork.operators import counts as cnt
 from tallywork.operators import prefix, select, stats, tokens
+from tallywork.plans import jobs
 from tallywork.session import fit_shuffles, scratch_path
-from tallywork.sinks import layout_path, write_counts, write_top
+from tallywork.sinks import write_counts, write_top
 from tallywork.sources import (
     read_csv_table,
     read_lines,
@@ -127,14 +128,24 @@ def write_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "layout")
-    docs = documents(spark, sf_dir, "source").where(F.col("source").isin(SOURCES))
-    counts = cnt.count_tokens(tokens.explode_tokens(docs.select("text"), "text"))
-    write_counts(counts, layout_path(base, "token_counts", SOURCES))
-    rows = spark.read.text(base)
+    corpus, out = written_corpus(spark, sf_dir), scratch_path(spark, "layout")
+    names = [f"source={name}" for name in SOURCES]
+    jobs.run_count_job(spark, "token_counts", corpus, names, out)
+    jobs.run_select_job(spark, "words_with_count", names, out, limit=COUNT_WANTED)
+    return _read_layout(spark, out)
+
+
+def write_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus, out = written_corpus(spark, sf_dir), scratch_path(spark, "series")
+    names = [f"source={name}" for name in SOURCES]
+    jobs.run_series(spark, corpus, names, out, n=COUNT_WANTED)
+    return _read_layout(spark, out)
+
+
+def _read_layout(spark: SparkSession, out: str) -> DataFrame:
     fields = F.split("value", "\t")
-    return rows.select(
-        "job", "range", fields[0].alias("token"), fields[1].cast("bigint").alias("cnt")
+    return spark.read.text(out).select(
+        "job", "range", fields[0].alias("key"), fields[1].cast("bigint").alias("cnt")
     )
 
 
@@ -320,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "write_counts_tuple": _token_counts_reread("tuple"),
     "write_topk": write_topk,
     "write_layout": write_layout,
+    "write_series": write_series,
     "tokenize": tokenize,
     "token_kind": token_kind,
     "accepted_tokens": accepted_tokens,

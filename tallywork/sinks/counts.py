@@ -50,9 +50,33 @@ def write_top(top: DataFrame, path: str, form: str = "tsv") -> None:
 
 
 def range_name(sources: Sequence[str]) -> str:
-    return f"{sources[0]}-{sources[-1]}"
+    """``first-last``; of a directory named ``column=value`` the value counts."""
+    first, last = (name.rsplit("=", 1)[-1] for name in (sources[0], sources[-1]))
+    return f"{first}-{last}"
 
 
 def layout_path(base: str, job: str, sources: Sequence[str]) -> str:
     """Where the output of a job over an ordered list of sources belongs."""
     return f"{base.rstrip('/')}/job={job}/range={range_name(sources)}"
+
+
+def write_by_range(
+    steps: DataFrame, path: str, sources: Sequence[str], form: str = "tsv", top: bool = False
+) -> None:
+    """Write rows with a ``step`` into one ``range=`` directory per step.
+
+    Step s covers the first s + 1 of the ordered sources. Rows go out in key
+    order within each part. Top lists, which are small, go out as one file per
+    range in rank order.
+    """
+    names = [F.lit(range_name(sources[: s + 1])) for s in range(len(sources))]
+    rows = steps.select(
+        F.get(F.array(*names), F.col("step")).alias("range"), key_of(steps).alias("key"), "cnt"
+    )
+    if top:
+        rows = rows.repartition("range").sortWithinPartitions("range", F.desc("cnt"), "key")
+    else:
+        rows = rows.sortWithinPartitions("range", "key")
+    rows.select("range", render(F.col("key"), F.col("cnt"), form).alias("value")).write.mode(
+        "errorifexists"
+    ).partitionBy("range").text(path)
