@@ -8,8 +8,7 @@ NUMBER_PATTERN = r"-?[0-9]+([.,][0-9]+)?"
 NUMBER_MIN_LENGTH = 4
 NUMBER_MAX_LENGTH = 16
 LINE_END_PATTERN = r"\r\n|\n|\r"
-WHITESPACE_PATTERN = r"\s+"
-TUPLE_LINE_PATTERN = r"^\((.*),(.*)\)$"
+COUNT_PATTERN = r"[+-]?[0-9]{1,18}"
 PAIR_SEPARATOR = ":"
 PAIR_WINDOW = 2
 COUNT_WANTED = 1000

@@ -63,14 +63,17 @@ def pair_key(left: Column, right: Column) -> Column:
 
 def pair_parts(key: Column) -> Column:
     """Both sides of a pair key as a struct; null unless there are exactly two."""
-    parts = F.split(key, rules.PAIR_SEPARATOR, -1)
-    left, right = F.get(parts, 0), F.get(parts, 1)
+    left = F.substring_index(key, rules.PAIR_SEPARATOR, 1)
+    right = F.substring_index(key, rules.PAIR_SEPARATOR, -1)
     return F.when(
-        (F.size(parts) == 2) & (right != ""),
+        (pair_key(left, right) == key) & (right != ""),
         F.struct(left.alias("left"), right.alias("right")),
     )
 
 
 def parse_count(text: Column) -> Column:
     """A whole number, surrounding blanks allowed; null for anything else."""
-    return F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\s*\z", 1).try_cast("bigint")
+    # The pattern admits only what fits, so the cast never has to fail.
+    return F.when(
+        text.rlike(_whole(rf"\s*{rules.COUNT_PATTERN}\s*")), text.try_cast("bigint")
+    )

@@ -40,61 +40,65 @@ def median_exact(
     df: DataFrame,
     value: str,
     default: float | None = rules.MISSING_VALUE_DEFAULT,
-    bins: int = 65536,
+    accuracy: int = 1000,
     settle_rows: int = 1_000_000,
 ) -> DataFrame:
     """The lower middle element, as ``median``; null if there are no values.
 
-    The interval that holds the median is cut into ``bins`` of equal width,
-    each map task counts its rows per bin, and the bin with the wanted rank
-    becomes the next interval. This goes on until the interval holds at most
-    ``settle_rows`` rows or one single value. The driver sees one row of four
-    numbers per round. Only the last interval is ranked value by value.
+    While more than ``settle_rows`` rows are left, a quantile summary gives two
+    values that enclose the wanted rank, and one pass counts the rows below
+    them, at them and between them. Either one of the two is the median, or
+    only the rows strictly between them are left: about one in a hundred,
+    whatever the distribution and however often a value repeats. The counts
+    are exact, so the summary only decides how fast this goes. The driver sees
+    one row per pass. The rows left at the end are ranked value by value.
     """
-    numbers = _numbers(df, value, default)
-    first = numbers.agg(
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.count("*").alias("held"),
-        F.ceil(F.count("*") / 2).alias("rank"),
-    )
-    interval = first.first()
-    while interval["held"] > settle_rows and interval["low"] < interval["high"]:
-        low, high, rank = interval["low"], interval["high"], interval["rank"]
-        binned = numbers.where(F.col("v").between(low, high)).groupBy(
-            _bin(F.col("v"), low, high, bins).alias("bin")
-        )
-        counted = binned.agg(
-            F.count("*").alias("held"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        interval = _holding_rank(counted, "bin", rank).select(
-            "low", "high", "held", (F.lit(rank) - F.col("before")).alias("rank")
+    v = F.col("v")
+    left = _numbers(df, value, default)
+    seen = left.agg(F.count("*").alias("between"), _marks(v, accuracy)).first()
+    held, marks = seen["between"], seen["marks"]
+    rank, margin = (held + 1) // 2, 2 / accuracy
+    while held > settle_rows:
+        low, high = _enclosing(marks, rank / held, margin)
+        inside = (v > low) & (v < high)
+        seen = left.agg(
+            F.count_if(v < low).alias("below"),
+            F.count_if(v == low).alias("at_low"),
+            F.count_if(inside).alias("between"),
+            F.count_if((v == high) & (v > low)).alias("at_high"),
+            _marks(F.when(inside, v), accuracy),
         ).first()
-    low, high, rank = interval["low"], interval["high"], interval["rank"]
-    inside = numbers.where(F.col("v").between(low, high))
-    counted = inside.groupBy("v").agg(F.count("*").alias("held"))
-    # The outer aggregate gives the null row for a table without values.
-    return _holding_rank(counted, "v", rank).agg(F.min("v").alias("median"))
-
-
-def _bin(v: Column, low: float, high: float, bins: int) -> Column:
-    # The ends get bins of their own, so every round sheds at least one value,
-    # also where the width is infinite or too small to divide by. Halving
-    # keeps it finite for the largest doubles.
-    share = F.try_divide(v / 2 - F.lit(low / 2), F.lit(high / 2 - low / 2))
-    inner = F.coalesce(F.nanvl(share, F.lit(0.5)), F.lit(0.5))
-    place = F.when(v == F.lit(low), 0.0).when(v == F.lit(high), 1.0).otherwise(inner)
-    return F.floor(place * (bins - 1))
-
-
-def _holding_rank(counted: DataFrame, order: str, rank: int) -> DataFrame:
-    """The row of a small counted table in which the running count reaches rank."""
-    up_to = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = counted.withColumn("reached", F.sum("held").over(up_to))
-    before = F.col("reached") - F.col("held")
-    return running.withColumn("before", before).where(
-        (F.col("before") < rank) & (F.col("reached") >= rank)
+        past_low = rank - seen["below"] - seen["at_low"]
+        past_between = past_low - seen["between"]
+        if rank <= seen["below"] or past_between > seen["at_high"]:
+            margin *= 2
+        elif past_low <= 0 or past_between > 0:
+            found = low if past_low <= 0 else high
+            return df.sparkSession.range(1).select(F.lit(found).alias("median"))
+        else:
+            left, held, rank = left.where(inside), seen["between"], past_low
+            marks, margin = seen["marks"], 2 / accuracy
+    up_to = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = left.groupBy("v").agg(F.count("*").alias("cnt")).select(
+        "v", F.sum("cnt").over(up_to).alias("reached")
     )
+    # The aggregate also gives the null row for a table without values.
+    return ranked.where(F.col("reached") >= rank).agg(F.min("v").alias("median"))
+
+
+MARKS = 500
+
+
+def _marks(v: Column, accuracy: int) -> Column:
+    """Evenly spaced approximate quantiles, from the least to the greatest."""
+    shares = [i / MARKS for i in range(MARKS + 1)]
+    return F.percentile_approx(v, shares, accuracy).alias("marks")
+
+
+def _enclosing(marks: list[float], share: float, margin: float) -> tuple[float, float]:
+    low = math.floor(max(share - margin, 0) * MARKS)
+    high = math.ceil(min(share + margin, 1) * MARKS)
+    return marks[low], marks[high]
 
 
 def above_scalar(df: DataFrame, value: str, scalar: DataFrame) -> DataFrame:

@@ -7,51 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.functions import pair_parts, parse_count, rules
+from tallywork.functions import rules
 from tallywork.sources.text import read_lines
 
-FORMS = ("tsv", "tuple")
-
-
-def _tsv_rows(lines: DataFrame) -> DataFrame:
-    fields = F.split(F.lower("value"), rules.WHITESPACE_PATTERN, -1)
-    # Blanks at the end of a line leave one empty last field, which does not count.
-    two = (F.size("fields") == 2) | ((F.size("fields") == 3) & (F.get("fields", 2) == ""))
-    return (
-        lines.select(fields.alias("fields"))
-        .where(two)
-        .select(F.get("fields", 0).alias("key"), parse_count(F.get("fields", 1)).alias("cnt"))
-    )
-
-
-def _tuple_rows(lines: DataFrame) -> DataFrame:
-    # The first group is greedy: the last comma separates key and count.
-    part = lambda i: F.regexp_extract("value", rules.TUPLE_LINE_PATTERN, i)
-    return lines.select(part(1).alias("key"), parse_count(part(2)).alias("cnt"))
-
-
-def _read(spark: SparkSession, paths: str | Sequence[str], form: str) -> DataFrame:
+# One pattern per form and kind of key: a line either fits it or is dropped.
+# TSV lines hold exactly two fields. In the tuple form the last comma
+# separates key and count, so the key may hold commas of its own.
+_TOKEN_LINES = {
+    "tsv": rf"^(\S+)\s+({rules.COUNT_PATTERN})\s*\z",
+    "tuple": rf"^\((.*),\s*({rules.COUNT_PATTERN})\s*\)\z",
+}
+_PAIR_LINES = {
+    "tsv": rf"^([^\s:]+):([^\s:]+)\s+({rules.COUNT_PATTERN})\s*\z",
+    "tuple": rf"^\(\s*([^:]*):([^:]*[^\s:])\s*,\s*({rules.COUNT_PATTERN})\s*\)\z",
+}
+FORMS = tuple(_TOKEN_LINES)
+
+
+def _read(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    form: str,
+    patterns: dict[str, str],
+    names: tuple[str, ...],
+) -> DataFrame:
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}, not {form!r}")
-    lines = read_lines(spark, paths, recursive=form == "tuple").select("value")
-    rows = _tsv_rows(lines) if form == "tsv" else _tuple_rows(lines)
-    return rows.where(F.col("cnt").isNotNull())
+    pattern = patterns[form]
+    # The TSV form is matched in lower case, the tuple form as it is.
+    line = F.lower("value") if form == "tsv" else F.col("value")
+    *keys, cnt = [F.regexp_extract("value", pattern, i + 1) for i in range(len(names) + 1)]
+    return (
+        read_lines(spark, paths, recursive=form == "tuple")
+        .select(line.alias("value"))
+        .where(F.col("value").rlike(pattern))
+        .select(*[k.alias(n) for k, n in zip(keys, names)], cnt.cast("bigint").alias("cnt"))
+    )
 
 
 def read_token_counts(
     spark: SparkSession, paths: str | Sequence[str], form: str = "tsv"
 ) -> DataFrame:
     """``token``, ``cnt``. Lines that do not fit the form are dropped."""
-    return _read(spark, paths, form).select(F.col("key").alias("token"), "cnt")
+    return _read(spark, paths, form, _TOKEN_LINES, ("token",))
 
 
 def read_pair_counts(
     spark: SparkSession, paths: str | Sequence[str], form: str = "tsv"
 ) -> DataFrame:
     """``left``, ``right``, ``cnt``. Lines that do not fit the form are dropped."""
-    return (
-        _read(spark, paths, form)
-        .select(pair_parts(F.trim("key")).alias("pair"), "cnt")
-        .where(F.col("pair").isNotNull())
-        .select("pair.left", "pair.right", "cnt")
-    )
+    return _read(spark, paths, form, _PAIR_LINES, ("left", "right"))

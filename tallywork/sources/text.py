@@ -21,14 +21,10 @@ def read_lines(
 ) -> DataFrame:
     """Lines of one or more paths (a list, or one comma-separated string).
 
-    Returns ``value`` and ``file``. Lines end at LF, CR or CRLF. Files in
-    nested directories are read only if ``recursive`` is set.
+    Lines end at LF, CR or CRLF. Files in nested directories are read only if
+    ``recursive`` is set.
     """
-    return (
-        spark.read.option("recursiveFileLookup", recursive)
-        .text(_path_list(paths))
-        .select("value", F.col("_metadata.file_path").alias("file"))
-    )
+    return spark.read.option("recursiveFileLookup", recursive).text(_path_list(paths))
 
 
 def _source_of(file: Column, base: str) -> Column:
@@ -47,7 +43,8 @@ def read_sources(
     """
     base = base.rstrip("/")
     lines = read_lines(spark, [f"{base}/{name}" for name in sources], recursive)
-    return lines.select("value", _source_of(F.col("file"), base).alias("source"))
+    source = _source_of(F.col("_metadata.file_path"), base)
+    return lines.select("value", source.alias("source"))
 
 
 def split_lines(documents: DataFrame, text: str = "text") -> DataFrame:
