@@ -18,18 +18,20 @@ def _whole(pattern: str) -> str:
     return rf"^(?:{pattern})\z"
 
 
-# One token is a maximal run of token characters. Anchoring both alternatives
+# One token is a maximal run of token characters. Anchoring the alternatives
 # to the ends of such a run gives the same tokens as splitting on the
-# separator and testing each piece, without building the rejected pieces.
+# separator and testing each piece, without building the rejected pieces. The
+# possessive "+" after the word and the look for a digit before the number
+# only make the pattern give up on a rejected piece sooner.
 _RUN_START = rf"(?<!{rules.TOKEN_CHARACTER})"
 _RUN_END = rf"(?!{rules.TOKEN_CHARACTER})"
-_NUMBER_LENGTH = (
+_FITTING_LENGTH = (
     rf"(?={rules.TOKEN_CHARACTER}"
     rf"{{{rules.NUMBER_MIN_LENGTH},{rules.NUMBER_MAX_LENGTH}}}{_RUN_END})"
 )
-ACCEPTED_PATTERN = (
-    rf"{_RUN_START}(?:{rules.WORD_PATTERN}|{_NUMBER_LENGTH}{rules.NUMBER_PATTERN}){_RUN_END}"
-)
+_WORD = rf"{rules.WORD_PATTERN}+"
+_NUMBER = rf"(?=-?[0-9]){_FITTING_LENGTH}{rules.NUMBER_PATTERN}"
+ACCEPTED_PATTERN = rf"{_RUN_START}(?:{_WORD}|{_NUMBER}){_RUN_END}"
 
 
 def tokens(text: Column) -> Column:

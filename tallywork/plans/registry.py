@@ -73,7 +73,10 @@ def written_corpus(spark: SparkSession, sf_dir: str) -> str:
     """The corpus as text files in one directory per source; returns its path."""
     path = scratch_path(spark, "corpus")
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("text").isNotNull())
-    table.select("text", "source").write.partitionBy("source").text(path)
+    # Rebalancing gives each source whole files of a fair size and splits a
+    # large source over several tasks.
+    rows = fit_shuffles(table.select("text", "source")).hint("rebalance", "source")
+    rows.write.partitionBy("source").text(path)
     return path
 
 

@@ -55,11 +55,11 @@ def split_lines(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share a scan out over all cores if it has fewer splits than there are cores.
+    """Share a scan out over all cores if it has at most half as many splits.
 
     Tokenizing is CPU-bound, so a small file with one row group would keep one
-    core busy. A scan with at least one split per core is returned as it is:
-    no large input is ever shuffled here. Counting splits runs no job.
+    core busy. Any larger scan is returned as it is and never shuffled here.
+    Counting splits runs no job.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
