@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallywork import functions as fn
+from tallywork.functions import rules
 from tallywork.operators.counts import count_pairs, count_tokens
 from tallywork.operators.select import number_word_pairs, word_word_pairs
 from tallywork.operators.tokens import explode_pairs, explode_tokens
@@ -148,6 +149,24 @@ def test_any_text_gives_the_tokens_and_pairs_of_the_model(spark, lines):
     assert pairs == Counter(p for line in lines for p in model_pairs(line))
 
 
+def test_pieces_are_those_of_the_separator_pattern(spark):
+    texts = [FIRST, SECOND, "", " a", "a ", "é", "a\nb\r\nc\u2028d\U0001f600e", " \t,", None]
+    df = corpus(spark, texts)
+    plain = F.split(F.lower("value"), rules.SEPARATOR_PATTERN, -1)
+    for row in df.select(fn.tokens(F.col("value")).alias("a"), plain.alias("b")).collect():
+        assert row.a == row.b
+
+
+def test_very_long_runs(spark):
+    n = 2_000_000
+    text = "日" * n + "history" + "x" * n + " " * n + "museum" + "😀" * n
+    df = corpus(spark, [text])
+    assert [len(t) for t in df.select(fn.tokens(F.col("value")).alias("t")).first().t] == [
+        0, 7 + n, 6, 0,
+    ]
+    assert df.select(fn.accepted_tokens(F.col("value")).alias("t")).first().t == ["museum"]
+
+
 def test_number_of_pairs_follows_from_the_tokens_per_line(spark):
     lines = corpus(spark, [FIRST, SECOND, "one-token", "", FIRST])
     n = F.size(fn.accepted_tokens(F.col("value")))
