@@ -108,7 +108,9 @@ def run_series(
     back to the text.
     """
     names = F.array(*[F.lit(name) for name in sources])
-    step = (F.array_position(names, F.col("source")) - 1).cast("int").alias("step")
+    place = F.array_position(names, F.col("source")).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("not in the series: "), F.col("source")))
+    step = F.when(place > 0, place - 1).otherwise(unknown.cast("int")).alias("step")
     lines = fit_shuffles(read_sources(spark, corpus, sources))
     lines = spread(lines.select("value", step))
     for parent, count_job in COUNT_JOBS.items():

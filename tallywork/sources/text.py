@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 from collections.abc import Sequence
 
@@ -29,9 +30,15 @@ def read_lines(
 
 def _source_of(file: Column, base: str) -> Column:
     """The directory directly below ``base`` that holds the file."""
-    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", base).rstrip("/")
-    before = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?)?" if plain.startswith("/") else r"^.*?/"
-    return F.regexp_extract(file, rf"{before}\Q{plain}\E/([^/]+)/", 1)
+    # File paths come with special characters percent-encoded; "+" stands for itself.
+    decoded = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    path = F.when(file.contains("%"), decoded).otherwise(file)
+    plain = posixpath.normpath(re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", base))
+    if plain == "." or plain.startswith(".."):
+        raise ValueError(f"give the corpus as an absolute path or by name, not as {base!r}")
+    below = "/".join(["", *filter(None, plain.split("/")), ""])
+    rest = F.substr(path, F.locate(below, path) + len(below))
+    return F.substring_index(rest, "/", 1)
 
 
 def read_sources(
@@ -42,8 +49,8 @@ def read_sources(
     Only the chosen directories are listed and read.
     """
     base = base.rstrip("/")
-    lines = read_lines(spark, [f"{base}/{name}" for name in sources], recursive)
     source = _source_of(F.col("_metadata.file_path"), base)
+    lines = read_lines(spark, [f"{base}/{name}" for name in sources], recursive)
     return lines.select("value", source.alias("source"))
 
 

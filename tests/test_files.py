@@ -57,9 +57,19 @@ def test_source_is_the_directory_below_the_base(spark, corpus, scheme):
     assert rows(lines.groupBy("source").count()) == [("AA", 4), ("AC", 1)]
 
 
-def test_source_with_a_relative_base(spark, corpus, monkeypatch):
-    lines = read_sources(spark, str(corpus), ["AB"])
-    assert rows(lines) == [("history 1234 archive", "AB")]
+@pytest.mark.parametrize("name", ["A A", "b+c", "d%20e", "é", "x=y", "AA"])
+def test_source_names_with_special_characters(spark, tmp_path, name):
+    put(tmp_path / "my corpus+" / name / "deep" / "f.txt", "history\n")
+    lines = read_sources(spark, str(tmp_path / "my corpus+"), [name])
+    assert rows(lines) == [("history", name)]
+
+
+def test_base_must_be_findable_in_file_paths(spark, corpus):
+    for base in (".", "..", "../corpus"):
+        with pytest.raises(ValueError):
+            read_sources(spark, base, ["AB"])
+    doubled = str(corpus).replace("/corpus/", "//corpus/./")
+    assert rows(read_sources(spark, doubled, ["AB"])) == [("history 1234 archive", "AB")]
 
 
 def test_counts_in_tsv_form(spark, tmp_path):
