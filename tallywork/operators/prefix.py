@@ -63,17 +63,20 @@ def prefix_word_pairs_with_count(spans: DataFrame, n: int = rules.COUNT_WANTED)
 
 
 def _top_by_step(spans: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:
-    counts = by_step(spans)
     order = [F.desc("cnt"), *keys]
-    # Spark keeps the first k rows of each step in every task before the
-    # shuffle, but only up to this k. Beyond it, rank within parts of a step
+    # Counts only grow. A span with k better ones that start at the same step
+    # is therefore outside the first k at every step it covers, so at most k
+    # spans per first step are spelled out.
+    # Spark keeps the first k rows of each group in every task before the
+    # shuffle, but only up to this k. Beyond it, rank within parts of a group
     # first, so that no task is given the whole vocabulary of a step.
     limit = int(spans.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if k > limit:
         parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        counts = counts.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
-        counts = _first_k(counts, k, ["step", "part"], order).drop("part")
-    return _first_k(counts, k, ["step"], order)
+        spans = spans.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
+        spans = _first_k(spans, k, ["first_step", "part"], order).drop("part")
+    candidates = _first_k(spans, k, ["first_step"], order)
+    return _first_k(by_step(candidates), k, ["step"], order)
 
 
 def _first_k(rows: DataFrame, k: int, group: list[str], order: list) -> DataFrame:

@@ -43,8 +43,11 @@ def test_key_filters_run_before_the_shuffle(spark, capsys):
 def test_top_lists_keep_k_rows_per_task(spark, capsys):
     assert "TakeOrderedAndProject" in plan(spark, "top_words", capsys)
     text = plan(spark, "prefix_top_words", capsys)
-    shuffle = text.index("Exchange hashpartitioning(step")
-    assert text.index("Final") < shuffle < text.index("Partial", shuffle)
+    # Spans are cut to k per first step, on both sides of the shuffle, before
+    # single steps are spelled out.
+    steps = text.index("Generate explode(sequence")
+    shuffle = text.index("Exchange hashpartitioning(first_step")
+    assert steps < text.index("Final", steps) < shuffle < text.index("Partial", shuffle)
 
 
 def test_series_looks_at_spans_before_steps(spark, capsys):

@@ -77,10 +77,10 @@ def test_series_top_lists(spark, occurrences, threshold):
     before = spark.conf.get(key)
     spark.conf.set(key, threshold)
     try:
-        top = prefix.prefix_top_words(prefix.token_spans(occurrences, 5), 20).collect()
+        top = prefix.prefix_top_words(prefix.token_spans(occurrences, 6), 20).collect()
     finally:
         spark.conf.set(key, before)
-    for step in range(6):
+    for step in range(7):
         ranked = sorted(direct(occurrences, step).items(), key=lambda x: (-x[1], x[0]))[:20]
         assert sorted((r.token, r.cnt) for r in top if r.step == step) == sorted(ranked)
 
