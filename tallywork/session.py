@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,20 +70,14 @@ def _bytes(size: str) -> int:
     return int(text)
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tallywork-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may go without that setting; it then gets a temporary
-    folder of its own. Executors on other machines could not read one.
+    Without that setting, a folder in the session's warehouse, which the
+    driver and all executors share as well. Never a temporary folder of one
+    machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
