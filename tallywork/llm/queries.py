@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import credentials, licenses, mixing, simhash
+from tallywork.llm import boosting, credentials, licenses, mixing, resampling, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = boosting.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", "score")
+
+
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -33,14 +43,21 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op5_importance_resampling": op5_importance_resampling,
     "op6_license_scan": op6_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_source_mixing": op10_source_mixing,
 }
