@@ -2,7 +2,8 @@
 
 The features of a text are the character n-grams of its distinct words, hashed
 into buckets; a feature's value is the number of distinct words that have it,
-times its naive Bayes log-count ratio between both labels. Logistic regression
+over the root of the number of distinct words, times its naive Bayes log-count
+ratio between both labels. Logistic regression
 over the scaled features is fitted on a bounded sample of labelled rows. As
 features add up word by word, a worker scores each word once and remembers it.
 """
@@ -20,14 +21,14 @@ from pyspark.sql.types import DoubleType, StringType
 from tallywork.llm.common import text_or_empty
 from tallywork.llm.samples import labelled_ids
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5)
 BUCKETS = 1 << 17
 FOLDS, HELD_OUT_FOLD = 5, 0
 #: Labelled rows to fit on, at most.
 SAMPLE_ROWS = 12_000
 SMOOTHING = 1.0
-RIDGE = 1e-4
-ROUNDS, RATE = 200, 0.05
+RIDGE = 1e-5
+ROUNDS, RATE = 100, 0.1
 #: Words a worker remembers the score of; it starts anew beyond that.
 MEMORY = 400_000
 
@@ -71,7 +72,8 @@ class Model:
         return score
 
     def score(self, text: str) -> float:
-        z = self.constant + sum(map(self.word, words_of(text)))
+        words = words_of(text)
+        z = self.constant + sum(map(self.word, words)) / max(1, len(words)) ** 0.5
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
@@ -97,13 +99,14 @@ def fit_words(texts: list[set[str]], labels: np.ndarray) -> Model:
     # Both labels weigh in by the root of their share, so that the rarer one is heard.
     weigh = np.where(labels == 1, np.sqrt((1 - share) / share), 1.0)
     weigh /= weigh.sum()
+    scale = np.array([max(1, len(t)) ** -0.5 for t in texts])
     w, b = np.zeros(BUCKETS), 0.0
     mean, spread, mean_b, spread_b = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
         per_word = np.bincount(gram_word, (ratio * w)[gram_at], len(numbers))
-        z = b + np.bincount(doc_at, per_word[word_at], len(labels))
+        z = b + scale * np.bincount(doc_at, per_word[word_at], len(labels))
         slope = weigh * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels)
-        g = ratio * by_bucket(by_word(slope)) + RIDGE * w
+        g = ratio * by_bucket(by_word(slope * scale)) + RIDGE * w
         g_b = slope.sum()
         mean, spread = 0.9 * mean + 0.1 * g, 0.99 * spread + 0.01 * g * g
         mean_b, spread_b = 0.9 * mean_b + 0.1 * g_b, 0.99 * spread_b + 0.01 * g_b * g_b
