@@ -44,6 +44,28 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
                               AND reached <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed"""
 
+# Record by record, without a tree.
+_AUDIT = """
+WITH records AS (
+  SELECT page_id, html, CAST(floor(page_id / 256) AS BIGINT) AS file,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+         || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+         || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
+         || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+         || chr(13) || chr(10) || chr(13) || chr(10) AS data
+  FROM pages),
+placed AS (
+  SELECT *, length(coalesce(html, '')) % 41 AS rest,
+         CAST(coalesce(sum(strlen(data)) OVER (PARTITION BY file ORDER BY page_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM records)
+SELECT file, "offset", CASE rest WHEN 0 THEN 'changed' ELSE 'missing' END AS status,
+       sha256(data) AS expected,
+       CASE rest WHEN 0 THEN sha256(left(data, length(data) - 1) || '!') END AS found
+FROM placed WHERE rest IN (0, 1)"""
+
 ORACLE: dict[str, str] = {
+    "op1_merkle_audit": _AUDIT,
     "op10_source_mixing": _MIXING,
 }

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm import boosting, credentials, licenses, mixing, resampling, simhash, toxicity
+from tallywork.llm import boosting, credentials, licenses, merkle, mixing, resampling, simhash, toxicity
+from tallywork.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Pages per archive file.
+FILE_PAGES = 256
+
+
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as records of archive files: ``file``, ``offset``, ``digest``, ``worn``, ``lost``.
+
+    A file holds the pages of a range of ids one after the other, in order of
+    id. Pages without an id form files by the hash of their address.
+
+    The table has no second replica, so one is derived with damage that
+    depends on the page alone: pages whose length is a multiple of 41 have
+    their last byte changed (``worn`` is the digest in the replica), those one
+    longer are ``lost``.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    file = F.coalesce(F.floor(F.col("page_id") / FILE_PAGES), -F.pmod(F.xxhash64("url", "html"), F.lit(1 << 40)) - 1)
+    data = merkle.warc_record(F.col("url"), F.col("page_id"), F.col("html"))
+    rest = F.coalesce(F.length("html"), F.lit(0)) % 41
+    rows = pages.select("page_id", file.cast("bigint").alias("file"), data.alias("data"), rest.alias("rest"))
+    length = F.octet_length("data")
+    flipped = F.concat(F.substring("data", 1, length - 1), F.lit("!").cast("binary"))
+    digest = merkle.record_digest(F.col("data"))
+    rows = rows.select(
+        "page_id", "file", length.alias("length"), digest.alias("digest"),
+        F.when(F.col("rest") == 0, merkle.record_digest(flipped)).otherwise(digest).alias("worn"),
+        (F.col("rest") == 1).alias("lost"),
+    )
+    before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0)).cast("bigint")
+    return written(rows.withColumn("offset", offset), "archives")
+
+
+def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archives(spark, sf_dir)
+    replica = records.where(~F.col("lost"))
+    return merkle.audit(merkle.hash_tree(records), merkle.hash_tree(replica, digest="worn"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = boosting.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -53,6 +93,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_merkle_audit": op1_merkle_audit,
     "op2_quality_rules": op2_quality_rules,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_license_scan": op6_license_scan,
