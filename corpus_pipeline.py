@@ -6,24 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.llm import mixing, simhash
+from tallywork.llm import credentials, decontamination, mixing, resampling, simhash
 from tallywork.llm.common import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling rejects go."""
+    return resampling.sampled_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.one_per_group(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; no document goes."""
+    return credentials.redacted(docs, length="n_chars" if "n_chars" in docs.columns else None)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes, with the number of ``copies`` of each document."""
     return mixing.mixed_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_sampled),
     ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_leaks),
+    ("secret_scan", hide_secrets),
     ("source_mixing", mix_sources),
 ]
 

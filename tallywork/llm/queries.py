@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm import boosting, credentials, licenses, merkle, mixing, resampling, simhash, toxicity
+from tallywork.llm import boosting, credentials, decontamination, licenses, merkle, mixing, resampling, simhash, toxicity
 from tallywork.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *base, "base_failed", "kept", "score")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "lcs", "answer", "near_word")
+
+
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -95,6 +100,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_merkle_audit": op1_merkle_audit,
     "op2_quality_rules": op2_quality_rules,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_license_scan": op6_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
