@@ -11,6 +11,8 @@ features add up word by word, a worker scores each word once and remembers it.
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ SIZES = (4, 5)
 BUCKETS = 1 << 17
 FOLDS, HELD_OUT_FOLD = 5, 0
 #: Labelled rows to fit on, at most.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 6_000
 SMOOTHING = 1.0
 RIDGE = 1e-5
 ROUNDS, RATE = 100, 0.1
@@ -77,16 +79,27 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def fit_words(texts: list[set[str]], labels: np.ndarray) -> Model:
-    """Fits on sets of words; without both labels, their smoothed share alone."""
+def fit_words(texts: Iterable[set[str]], labels: np.ndarray) -> Model:
+    """Fits on sets of words; without both labels, their smoothed share alone.
+
+    Words and n-grams are held as flat arrays of numbers, texts one at a time.
+    """
     share = (labels.sum() + 1) / (len(labels) + 2)
     if not 0 < labels.sum() < len(labels):
         return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     numbers: dict[str, int] = {}
-    own = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in sorted(t)), np.int64, len(t)) for t in texts]
-    word_at, doc_at = np.concatenate(own), np.repeat(np.arange(len(own)), [len(o) for o in own])
-    grams = [grams_of(w) for w in numbers]
-    gram_at, gram_word = np.concatenate([np.array(g) for g in grams]), np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    words, sizes = array("i"), []
+    for text in texts:
+        words.extend(numbers.setdefault(w, len(numbers)) for w in sorted(text))
+        sizes.append(len(text))
+    word_at, doc_at = np.array(words), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    grams, counts = array("i"), []
+    for word in numbers:
+        own = grams_of(word)
+        grams.extend(own)
+        counts.append(len(own))
+    gram_at, gram_word = np.array(grams), np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    del words, grams
 
     def by_bucket(per_word: np.ndarray) -> np.ndarray:
         return np.bincount(gram_at, per_word[gram_word], BUCKETS)
@@ -99,7 +112,7 @@ def fit_words(texts: list[set[str]], labels: np.ndarray) -> Model:
     # Both labels weigh in by the root of their share, so that the rarer one is heard.
     weigh = np.where(labels == 1, np.sqrt((1 - share) / share), 1.0)
     weigh /= weigh.sum()
-    scale = np.array([max(1, len(t)) ** -0.5 for t in texts])
+    scale = np.array([max(1, n) ** -0.5 for n in sizes])
     w, b = np.zeros(BUCKETS), 0.0
     mean, spread, mean_b, spread_b = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
@@ -131,7 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = rows.join(sample, rows["id"] == sample["sample_id"])
     listed = F.pandas_udf(_word_lists, StringType())("text").alias("words")
     rows = rows.select("id", listed, "label").orderBy("id", "words").limit(most).toPandas()
-    return fit_words([set(w.split(" ")) - {""} for w in rows["words"]], rows["label"].to_numpy(np.float64))
+    texts = (set(w.split(" ")) - {""} for w in rows["words"])
+    return fit_words(texts, rows["label"].to_numpy(np.float64))
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
