@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm import boosting, credentials, decontamination, licenses, merkle, mixing, resampling, simhash, toxicity
+from tallywork.llm import boosting, credentials, decontamination, licenses, merkle, mixing, resampling, simhash, toxicity, wrappers
 from tallywork.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "cosine", "lcs", "answer", "near_word")
 
 
+def op4_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op1_merkle_audit": op1_merkle_audit,
     "op2_quality_rules": op2_quality_rules,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_wrapper_extraction": op4_wrapper_extraction,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_license_scan": op6_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
