@@ -1,0 +1,54 @@
+import re
+from collections import Counter
+
+from tallywork.llm import licenses
+from tests.llm import tables
+
+LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+MIT = (
+    'Permission is hereby granted, free of charge, to any {}person obtaining a copy of this software and associated '
+    'documentation files (the "Software"), to deal in the Software without restriction'
+)
+TEXTS = [
+    "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.",
+    "This work is licensed under the GNU General Public License, version 3.", "under the mit license under the MIT license",
+    "cc by cc by nc by nc", "under the MİT license", "under the mit licenſe", "underKthe mit license", "éunder the mit license",
+    "Apache license -- version: 2 apache LICENSE version 20", MIT.format(""), MIT.format("lucky "), MIT.format("")[:60],
+    "x " * 50 + "cc by nc " + "y " * 50_000 + "cc-by-nc", "the mit license", "mit",
+]
+
+
+def plain(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    found = [
+        (i, label) for label, phrase in PHRASES.items() for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in found]
+    labels = ",".join(sorted({label for _, label in found}))
+    return len(words), len(found), min(starts, default=None), max(starts, default=None), labels
+
+
+def test_base_places_equal_a_plain_model(spark):
+    rows = [tables.row(100 + i, t) for i, t in enumerate(TEXTS)] + tables.ODD + [tables.row(100, TEXTS[0])]
+    got = licenses.scan(tables.clashing(tables.documents(spark, rows)))
+    expected = Counter((r[0], *plain(r[1])) for r in rows)
+    assert Counter(tuple(r)[:6] for r in got.collect()) == expected
+
+
+def test_longer_statements_are_found_with_words_added_or_left_out(spark):
+    docs = tables.documents(spark, [tables.row(i, t) for i, t in enumerate(TEXTS)])
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).collect()}
+    assert got[3] == ("gpl", 1.0)
+    assert got[11] == ("mit", 1.0)
+    assert got[12][0] == "mit" and 0.8 <= got[12][1] < 1
+    assert got[13][0] == "" and got[15] == ("", 0.0)
+    assert all(0 <= score <= 1 for _, score in got.values())
+
+
+def test_empty_table_and_native_plan(spark):
+    docs = tables.documents(spark, tables.ODD)
+    assert licenses.scan(docs.limit(0)).isEmpty()
+    plan = licenses.scan(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan.split("Physical Plan")[1].replace("Scan ExistingRDD[doc_id", "")

@@ -1,0 +1,82 @@
+import hashlib
+import re
+
+import pytest
+
+from tallywork.llm import mixing
+from tests.llm import tables
+
+
+def plain_targets(sizes, weights=(1, 2, 3), most=3):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        left = total - sum(fixed.values())
+        free = [s for s in names if s not in fixed]
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > most * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: most * sizes[s] for s in over}
+
+
+def plain_mix(rows):
+    items = []
+    for doc_id, text, _, source, _ in rows:
+        size = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        name = "" if doc_id is None else str(doc_id)
+        items.append((doc_id, source, size, hashlib.md5(f"{name}|{text or ''}".encode()).hexdigest()[:15]))
+    sizes = {}
+    for _, source, size, _ in items:
+        sizes[source] = sizes.get(source, 0) + size
+    targets = plain_targets(sizes)
+    out = []
+    for doc_id, source, size, point in items:
+        own = sizes[source]
+        whole = int(targets[source] // own) if own else 0
+        rest = targets[source] - whole * own
+        reached = sum(s for _, o, s, p in items if o == source and p <= point)
+        copies = whole + int(rest > 0 and reached <= rest)
+        out.append((doc_id, size, own, pytest.approx(targets[source]), size * copies, copies))
+    return out
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[4]))
+
+
+@pytest.mark.parametrize("rows", [tables.ODD, tables.some_documents(), tables.some_documents(40) + tables.ODD])
+def test_mix_equals_a_plain_model(spark, rows):
+    got = [tuple(r) for r in mixing.mix(tables.clashing(tables.documents(spark, rows))).collect()]
+    assert in_order(got) == in_order(plain_mix(rows))
+
+
+def test_targets_share_out_what_is_above_three_times_a_source(spark):
+    sizes = {"a": 10, "b": 1, "c": 1, "d": 1000, "e": 0, None: 20}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r.source: r.target for r in mixing.targets(rows, (1, 2, 3), 3).collect()}
+    assert got == pytest.approx(plain_targets(sizes))
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_a_larger_budget_takes_a_superset(spark):
+    docs = tables.documents(spark, tables.some_documents(200))
+    small = {r.doc_id for r in mixing.mix(docs, weights=(1, 9, 9)).where("source_size > 0 and copies > 0").collect()}
+    large = {r.doc_id for r in mixing.mix(docs, weights=(5, 9, 9)).where("copies > 0").collect()}
+    first = {r.doc_id for r in docs.where("source = 'a'").collect()}
+    assert small & first <= large & first and small & first
+
+
+def test_documents_of_the_mix(spark):
+    docs = tables.clashing(tables.documents(spark, tables.some_documents(60)))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == [c for c in docs.columns if c != "copies"] + ["copies"]
+    wanted = {(r.doc_id, r.copies) for r in mixing.mix(docs).where("copies > 0").collect()}
+    assert {(r.doc_id, r.copies) for r in mixed.collect()} == wanted
+    assert mixing.mix(docs.limit(0)).isEmpty() and mixing.mixed_documents(docs.limit(0)).isEmpty()
+
+
+def test_mix_runs_no_python(spark):
+    plan = mixing.mix(tables.documents(spark, tables.ODD))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
