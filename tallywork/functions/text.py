@@ -80,8 +80,7 @@ def pair_parts(key: Column) -> Column:
 
 
 def parse_count(text: Column) -> Column:
-    """A whole number, surrounding blanks allowed; null for anything else."""
-    # The pattern admits only what fits, so the cast never has to fail.
+    """A whole number that fits 64 bits, surrounding blanks allowed; else null."""
     return F.when(
         text.rlike(_whole(rf"\s*{rules.COUNT_PATTERN}\s*")), text.try_cast("bigint")
     )

@@ -22,6 +22,10 @@ from tallywork.operators.select import (
 )
 
 
+#: Parts in which the spans of a step are ranked first.
+PARTS = 256
+
+
 def count_spans(rows: DataFrame, keys: tuple[str, ...], last_step: int | Column) -> DataFrame:
     """``*keys``, ``first_step``, ``last_step``, ``cnt`` from rows with a ``step``.
 
@@ -67,14 +71,10 @@ def _top_by_step(spans: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:
     # Counts only grow. A span with k better ones that start at the same step
     # is therefore outside the first k at every step it covers, so at most k
     # spans per first step are spelled out.
-    # Spark keeps the first k rows of each group in every task before the
-    # shuffle, but only up to this k. Beyond it, rank within parts of a group
-    # first, so that no task is given the whole vocabulary of a step.
-    limit = int(spans.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > limit:
-        parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spans = spans.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
-        spans = _first_k(spans, k, ["first_step", "part"], order).drop("part")
+    # Ranked within parts of a group first, so that no task is given the whole
+    # vocabulary of a step, however large k is.
+    part = F.pmod(F.xxhash64(*keys), F.lit(PARTS))
+    spans = _first_k(spans.withColumn("part", part), k, ["first_step", "part"], order).drop("part")
     candidates = _first_k(spans, k, ["first_step"], order)
     return _first_k(by_step(candidates), k, ["step"], order)
 

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tallywork.functions import rules
 from tallywork.operators import counts, prefix, select, tokens
-from tallywork.session import fit_shuffles, scratch_path
+from tallywork.session import remove_path, scratch_path
 from tallywork.sinks import layout_path, write_by_range, write_counts, write_top
-from tallywork.sources import read_pair_counts, read_sources, read_token_counts, spread
+from tallywork.sources import dealt, read_pair_counts, read_sources, read_token_counts
 
 
 class CountJob(NamedTuple):
@@ -63,9 +63,13 @@ def run_count_job(
     sources: Sequence[str],
     out: str,
     form: str = "tsv",
+    partitions: int | None = None,
 ) -> str:
-    """Count the tokens or pairs of the chosen sources; returns the output path."""
-    lines = spread(fit_shuffles(read_sources(spark, corpus, sources).select("value")))
+    """Count the tokens or pairs of the chosen sources; returns the output path.
+
+    ``partitions`` deals out the lines first, for a corpus of a few small files.
+    """
+    lines = dealt(read_sources(spark, corpus, sources).select("value"), partitions)
     path = layout_path(out, job, sources)
     write_counts(COUNT_JOBS[job].count(COUNT_JOBS[job].rows(lines)), path, form)
     return path
@@ -86,8 +90,11 @@ def run_select_job(
     step = SELECT_JOBS[job]
     parent = COUNT_JOBS[step.parent].read(spark, layout_path(out, step.parent, sources), form)
     path = layout_path(out, job, sources)
-    write = write_top if step.is_top else write_counts
-    write(step.select(parent, _limit_of(step, limit)), path, form)
+    wanted = _limit_of(step, limit)
+    if step.is_top:
+        write_top(step.select(parent, wanted), path, form, k=wanted)
+    else:
+        write_counts(step.select(parent, wanted), path, form)
     return path
 
 
@@ -99,20 +106,20 @@ def run_series(
     form: str = "tsv",
     n: int = rules.COUNT_WANTED,
     k: int = rules.TOP_K,
+    partitions: int | None = None,
 ) -> None:
     """All six jobs for the first source, the first two, and so on to all of them.
 
     The corpus is read once per kind of count, not once per step. The counts
     by span are written to the scratch folder, and the three outputs of a kind
     are made from that table, so a lost executor never sends a later output
-    back to the text.
+    back to the text. The tables are deleted once all outputs are written.
     """
     names = F.array(*[F.lit(name) for name in sources])
     place = F.array_position(names, F.col("source")).cast("int")
     unknown = F.raise_error(F.concat(F.lit("not in the series: "), F.col("source")))
     step = F.when(place > 0, place - 1).otherwise(unknown.cast("int")).alias("step")
-    lines = fit_shuffles(read_sources(spark, corpus, sources))
-    lines = spread(lines.select("value", step))
+    lines = dealt(read_sources(spark, corpus, sources).select("value", step), partitions)
     for parent, count_job in COUNT_JOBS.items():
         kept = scratch_path(spark, f"{parent}_spans")
         count_job.spans(count_job.rows(lines), len(sources) - 1).write.parquet(kept)
@@ -123,6 +130,7 @@ def run_series(
             if job.parent == parent:
                 rows = job.by_step(spans, k if job.is_top else n)
                 write(rows, f"{out}/job={name}", top=job.is_top)
+        remove_path(spark, kept)
 
 
 def _limit_of(job: SelectJob, limit: int | None) -> int:

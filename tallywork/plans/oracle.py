@@ -107,14 +107,16 @@ _TOP_WORDS = _with(
     f"ORDER BY cnt DESC, token LIMIT {rules.TOP_K}",
 )
 
-_RANGES = f"""
-steps AS (
-  SELECT step, '{SOURCES[0]}-' || last AS "range", last
-  FROM (SELECT unnest(range({len(SOURCES)})) AS step,
-               unnest([{_SOURCE_LIST}]) AS last)),
+_ORDERED = f"""
+ordered AS (
+  SELECT source, row_number() OVER (ORDER BY {_STEP}, source) - 1 AS step
+  FROM (SELECT DISTINCT source FROM documents))"""
+
+_RANGES = f"""{_ORDERED},
 covered AS (
-  SELECT whole."range", part.last AS source FROM steps AS whole JOIN steps AS part
-  ON part.step <= whole.step)"""
+  SELECT (SELECT source FROM ordered WHERE step = 0) || '-' || whole.source AS "range",
+         part.source AS source
+  FROM ordered AS whole JOIN ordered AS part ON part.step <= whole.step)"""
 
 _SERIES = _with(
     f"""{_PAIRS},{_RANGES},
@@ -141,6 +143,25 @@ UNION ALL SELECT 'word_pairs_with_count', "range", "left" || ':' || "right", cnt
 UNION ALL SELECT 'top_number_word_pairs', "range", "left" || ':' || "right", cnt FROM top_pairs""",
 )
 
+_SELECTIONS = _with(
+    f"""{_PAIRS},
+token_counts AS (
+  SELECT token, count(*) AS cnt FROM (SELECT unnest(toks) AS token FROM listed) GROUP BY token),
+pair_counts AS (SELECT "left", "right", count(*) AS cnt FROM pairs GROUP BY ALL),
+top_words AS (
+  SELECT token, cnt FROM token_counts WHERE {_word('token')}
+  ORDER BY cnt DESC, token LIMIT {rules.TOP_K}),
+top_pairs AS (
+  SELECT "left", "right", cnt FROM pair_counts WHERE {_NUMBER_WORD}
+  ORDER BY cnt DESC, "left", "right" LIMIT {rules.TOP_K})""",
+    f"""SELECT 'words_with_count' AS job, token AS key, cnt FROM token_counts
+  WHERE {_word('token')} AND cnt = {COUNT_WANTED}
+UNION ALL SELECT 'top_words', token, cnt FROM top_words
+UNION ALL SELECT 'word_pairs_with_count', "left" || ':' || "right", cnt FROM pair_counts
+  WHERE {_BOTH_WORDS} AND cnt = {COUNT_WANTED}
+UNION ALL SELECT 'top_number_word_pairs', "left" || ':' || "right", cnt FROM top_pairs""",
+)
+
 ORACLE: dict[str, str] = {
     "scan_lines": _with(_LINES, "SELECT value FROM lines"),
     "scan_lines_recursive": _with(_LINES, "SELECT value FROM lines"),
@@ -157,16 +178,21 @@ ORACLE: dict[str, str] = {
     "write_counts_tuple": _TOKEN_COUNTS,
     "write_topk": _TOP_WORDS,
     "write_layout": _with(
-        f"""{_TOKENS},
-counts AS (
-  SELECT token, count(*) AS cnt FROM tokens WHERE source IN ({_SOURCE_LIST}) GROUP BY token),
+        f"""{_COUNTS},{_ORDERED},
 outputs AS (
   SELECT 'token_counts' AS job, token AS key, cnt FROM counts
   UNION ALL
   SELECT 'words_with_count', token, cnt FROM counts
   WHERE {_word('token')} AND cnt = {COUNT_WANTED})""",
-        f"SELECT job, '{SOURCES[0]}-{SOURCES[-1]}' AS \"range\", key, cnt FROM outputs",
+        """SELECT job, (SELECT min_by(source, step) || '-' || max_by(source, step) FROM ordered) AS "range",
+       key, cnt FROM outputs""",
     ),
+    "read_odd_counts": f"""
+SELECT 'doc' || CAST(doc_id AS VARCHAR) AS token,
+       CASE doc_id % 8 WHEN 2 THEN {2**63 - 1} WHEN 4 THEN CAST('{-(2**63)}' AS BIGINT) ELSE doc_id END AS cnt
+FROM documents WHERE doc_id % 8 NOT IN (3, 5, 6)""".strip(),
+    "select_from_counts_tsv": _SELECTIONS,
+    "select_from_counts_tuple": _SELECTIONS,
     "write_series": _SERIES,
     "tokenize": _with(
         _LINES,
@@ -237,6 +263,7 @@ outputs AS (
     "prefix_top_words": _ranked(_STEP_COUNTS, "token", _word("token")),
     "prefix_top_number_word_pairs": _ranked(_STEP_PAIR_COUNTS, '"left", "right"', _NUMBER_WORD),
     "median_exact": _with(_EVENTS, f"SELECT {_MEDIAN} AS median"),
+    "median_approx_rank": _with(_EVENTS, "SELECT count(*) AS n_values, TRUE AS is_near FROM known"),
     "above_median": _with(
         _EVENTS, f"SELECT event_id, user_id FROM known WHERE value > {_MEDIAN} ORDER BY event_id"
     ),

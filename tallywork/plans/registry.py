@@ -17,21 +17,21 @@ from tallywork.functions import rules
 from tallywork.operators import counts as cnt
 from tallywork.operators import prefix, select, stats, tokens
 from tallywork.plans import jobs
-from tallywork.session import fit_shuffles, scratch_path
+from tallywork.session import scratch_path, text_partitions
 from tallywork.sinks import write_counts, write_top
 from tallywork.sources import (
+    dealt,
     read_csv_table,
     read_lines,
     read_pair_counts,
     read_sources,
     read_token_counts,
     split_lines,
-    spread,
 )
 
 # No token of the test tables has the count 1000, so these queries ask for 3.
 COUNT_WANTED = 3
-# The ordered list of sources of the subset query and of the output layout.
+# The sources of the subset query.
 SOURCES = [f"src{i}" for i in range(11)]
 MEANS_ROUNDED_TO = 4
 
@@ -43,7 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def documents(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
     scan = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", *others)
-    return spread(fit_shuffles(scan))
+    return dealt(scan, text_partitions(spark))
 
 
 def lines(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
@@ -69,13 +69,28 @@ def last_step(spark: SparkSession, sf_dir: str) -> Column:
     return table.agg(F.max(source_step(F.col("source")))).scalar()
 
 
+def source_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The directories of all sources, in order of the number at their end."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("source").isNotNull())
+    rows = table.select("source").distinct().orderBy(source_step(F.col("source")), "source").collect()
+    return [f"source={row.source}" for row in rows]
+
+
+def nested_corpus(spark: SparkSession, sf_dir: str) -> str:
+    """The corpus as text files two plain folders down; returns the upper one."""
+    path = scratch_path(spark, "nested")
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("text").isNotNull())
+    table.select("text").write.text(f"{path}/upper/lower")
+    return path
+
+
 def written_corpus(spark: SparkSession, sf_dir: str) -> str:
     """The corpus as text files in one directory per source; returns its path."""
     path = scratch_path(spark, "corpus")
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("text").isNotNull())
     # Rebalancing gives each source whole files of a fair size and splits a
     # large source over several tasks.
-    rows = fit_shuffles(table.select("text", "source")).hint("rebalance", "source")
+    rows = table.select("text", "source").hint("rebalance", "source")
     rows.write.partitionBy("source").text(path)
     return path
 
@@ -88,7 +103,7 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_lines_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_lines(spark, written_corpus(spark, sf_dir), recursive=True).select("value")
+    return read_lines(spark, nested_corpus(spark, sf_dir), recursive=True).select("value")
 
 
 def scan_source_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +147,7 @@ def write_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus, out = written_corpus(spark, sf_dir), scratch_path(spark, "layout")
-    names = [f"source={name}" for name in SOURCES]
+    names = source_names(spark, sf_dir)
     jobs.run_count_job(spark, "token_counts", corpus, names, out)
     jobs.run_select_job(spark, "words_with_count", names, out, limit=COUNT_WANTED)
     return _read_layout(spark, out)
@@ -140,11 +155,49 @@ def write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus, out = written_corpus(spark, sf_dir), scratch_path(spark, "series")
-    names = [f"source={name}" for name in SOURCES]
+    names = source_names(spark, sf_dir)
     jobs.run_series(spark, corpus, names, out, n=COUNT_WANTED)
     return _read_layout(spark, out)
 
 
+def _selections_reread(form: str) -> Query:
+    """All four selections, each from the persisted counts of all sources."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out, read = scratch_path(spark, f"selections_{form}"), None
+        names = source_names(spark, sf_dir)
+        corpus = written_corpus(spark, sf_dir)
+        for parent in jobs.COUNT_JOBS:
+            jobs.run_count_job(spark, parent, corpus, names, out, form)
+        for name, job in jobs.SELECT_JOBS.items():
+            limit = None if job.is_top else COUNT_WANTED
+            path = jobs.run_select_job(spark, name, names, out, form, limit)
+            if job.parent == "token_counts":
+                rows = read_token_counts(spark, path, form).select(F.col("token").alias("key"), "cnt")
+            else:
+                rows = read_pair_counts(spark, path, form)
+                rows = rows.select(fn.pair_key(F.col("left"), F.col("right")).alias("key"), "cnt")
+            rows = rows.select(F.lit(name).alias("job"), "key", "cnt")
+            read = rows if read is None else read.unionByName(rows)
+        return read
+
+    return query
+
+
+def read_odd_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count lines reread of which some do not fit: one line per document, in turn."""
+    doc_id = F.col("doc_id").cast("string")
+    counts = [
+        doc_id, F.lpad(doc_id, 30, "0"), F.lit(str(2**63 - 1)), F.lit(str(2**63)), F.lit(str(-(2**63))),
+        F.concat(F.lit("x"), doc_id), F.concat(doc_id, F.lit("\t1")), F.concat(F.lit("+"), doc_id),
+    ]
+    kind = F.pmod(F.col("doc_id"), F.lit(len(counts))).cast("int")
+    line = F.concat(F.lit("doc"), doc_id, F.lit("\t"), F.get(F.array(*counts), kind))
+    path = scratch_path(spark, "odd_counts")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(line.alias("value")).write.text(path)
+    return read_token_counts(spark, path)
+
+
 def _read_layout(spark: SparkSession, out: str) -> DataFrame:
     fields = F.split("value", "\t")
     return spark.read.text(out).select(
@@ -299,6 +352,20 @@ def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.median_approx(events(spark, sf_dir), "value")
 
 
+def median_approx_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values there are, and whether the approximate median's rank is close enough."""
+    values = events(spark, sf_dir).select(fn.null_default(F.col("value")).alias("value"))
+    found = values.withColumn("found", median_approx(spark, sf_dir).scalar())
+    seen = found.agg(
+        F.count("value").alias("n_values"),
+        F.count_if(F.col("value") < F.col("found")).alias("below"),
+        F.count_if(F.col("value") <= F.col("found")).alias("up_to"),
+    )
+    middle, slack = F.col("n_values") / 2, rules.MEDIAN_RELATIVE_ERROR * F.col("n_values")
+    near = (F.col("below") - slack <= middle) & (F.col("up_to") + slack >= middle)
+    return seen.select("n_values", near.alias("is_near"))
+
+
 def above_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     median = median_exact(spark, sf_dir)
     return stats.above_median(events(spark, sf_dir), "value", "event_id", "user_id", median)
@@ -335,6 +402,9 @@ QUERIES: dict[str, Query] = {
     "write_topk": write_topk,
     "write_layout": write_layout,
     "write_series": write_series,
+    "read_odd_counts": read_odd_counts,
+    "select_from_counts_tsv": _selections_reread("tsv"),
+    "select_from_counts_tuple": _selections_reread("tuple"),
     "tokenize": tokenize,
     "token_kind": token_kind,
     "accepted_tokens": accepted_tokens,
@@ -362,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "prefix_top_number_word_pairs": prefix_top_number_word_pairs,
     "median_exact": median_exact,
     "median_approx": median_approx,
+    "median_approx_rank": median_approx_rank,
     "above_median": above_median,
     "above_median_count": above_median_count,
     "group_mean": group_mean,

@@ -4,32 +4,38 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 SHUFFLE_PARTITION_BYTES = 256 * MIB
-MAX_SHUFFLE_PARTITIONS = 40_000
+SPLIT_MIB = 128
+#: A number of partitions to deal texts out to before they are tokenized; unset,
+#: texts stay in the splits they are read in.
+TEXT_PARTITIONS = "spark.tallywork.textPartitions"
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+def shuffle_partitions_for(shuffled_bytes: int, cores: int) -> int:
     """Enough partitions to keep each near 256 MiB, and at least one per core."""
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(cores, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+def settings_for(
+    input_bytes: int, cores: int, expansion: float = 1.0, split_mib: int = SPLIT_MIB
+) -> dict[str, str]:
     """Settings to create a session with, for an input of about this size.
 
-    From 1 TiB on splits grow to 512 MiB, so that the number of map tasks, and
-    with it the number of shuffle blocks, stays in proportion.
+    ``expansion`` is what a job shuffles over what it reads: counts add up
+    before the shuffle and stay below 1, pairs of an unseen vocabulary reach
+    about 4. Larger splits keep the number of map tasks down; 512 MiB suits
+    inputs of many terabytes.
     """
-    large = input_bytes >= 1024 * 1024 * MIB
+    shuffled = int(input_bytes * expansion)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str((512 if large else 128) * MIB),
-        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes, cores)),
+        "spark.sql.files.maxPartitionBytes": str(split_mib * MIB),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(shuffled, cores)),
         "spark.sql.session.timeZone": "UTC",
     }
 
@@ -39,6 +45,7 @@ def local_session(cores: int | str = 8, input_bytes: int = 0, memory: str = "8g"
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallywork")
     builder = builder.config("spark.driver.memory", memory).config("spark.ui.enabled", "false")
     builder = builder.config("spark.ui.showConsoleProgress", "false")
+    builder = builder.config(TEXT_PARTITIONS, cores if str(cores).isdigit() else 8)
     count = int(cores) if str(cores).isdigit() else 8
     for key, value in settings_for(input_bytes, count).items():
         builder = builder.config(key, value)
@@ -47,27 +54,10 @@ def local_session(cores: int | str = 8, input_bytes: int = 0, memory: str = "8g"
     return spark
 
 
-def fit_shuffles(scan: DataFrame) -> DataFrame:
-    """Raise the session's shuffle partitions to suit the size of a scan.
-
-    A session left at the default of 200 would give each reducer terabytes of
-    a large corpus. The number is only ever raised, and adaptive execution
-    merges partitions that turn out small.
-    """
-    spark = scan.sparkSession
-    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    wanted = shuffle_partitions_for(scan.rdd.getNumPartitions() * split_bytes, 1)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return scan
-
-
-def _bytes(size: str) -> int:
-    text = size.lower().removesuffix("b")
-    for power, unit in enumerate("kmgt", start=1):
-        if text.endswith(unit):
-            return int(text[:-1]) * 1024**power
-    return int(text)
+def text_partitions(spark: SparkSession) -> int | None:
+    """The session's setting for dealing out texts."""
+    wanted = spark.conf.get(TEXT_PARTITIONS, None)
+    return int(wanted) if wanted else None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -81,3 +71,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table by the rules of its own file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

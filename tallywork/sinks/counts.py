@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions import pair_key
+from tallywork.functions import pair_key, rules
 from tallywork.sources.counts import FORMS
 
 
@@ -41,10 +41,12 @@ def write_counts(counts: DataFrame, path: str, form: str = "tsv") -> None:
     ).text(path)
 
 
-def write_top(top: DataFrame, path: str, form: str = "tsv") -> None:
-    """Write a top list (at most k rows) as one file in rank order."""
-    rows = top.select(key_of(top).alias("key"), "cnt").coalesce(1)
-    rows.sortWithinPartitions(F.desc("cnt"), "key").select(
+def write_top(
+    top: DataFrame, path: str, form: str = "tsv", k: int = rules.TOP_K
+) -> None:
+    """Write the first k rows of a top list as one file in rank order."""
+    rows = top.select(key_of(top).alias("key"), "cnt").orderBy(F.desc("cnt"), "key").limit(k)
+    rows.coalesce(1).sortWithinPartitions(F.desc("cnt"), "key").select(
         render(F.col("key"), F.col("cnt"), form).alias("value")
     ).write.mode("errorifexists").text(path)
 
@@ -76,7 +78,8 @@ def write_by_range(
     if top:
         rows = rows.repartition("range").sortWithinPartitions("range", F.desc("cnt"), "key")
     else:
-        rows = rows.sortWithinPartitions("range", "key")
+        # By range first: else every task writes a file into every range.
+        rows = rows.hint("rebalance", "range").sortWithinPartitions("range", "key")
     rows.select("range", render(F.col("key"), F.col("cnt"), form).alias("value")).write.mode(
         "errorifexists"
     ).partitionBy("range").text(path)

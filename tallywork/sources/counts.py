@@ -41,7 +41,9 @@ def _read(
         read_lines(spark, paths, recursive=form == "tuple")
         .select(line.alias("value"))
         .where(F.col("value").rlike(pattern))
-        .select(*[k.alias(n) for k, n in zip(keys, names)], cnt.cast("bigint").alias("cnt"))
+        .select(*[k.alias(n) for k, n in zip(keys, names)], cnt.try_cast("bigint").alias("cnt"))
+        # Well-formed, but beyond 64 bits.
+        .where(F.col("cnt").isNotNull())
     )
 
 

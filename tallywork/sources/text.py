@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +26,23 @@ def read_lines(
     return spark.read.option("recursiveFileLookup", recursive).text(_path_list(paths))
 
 
-def _source_of(file: Column, base: str) -> Column:
-    """The directory directly below ``base`` that holds the file."""
+def _source_of(spark: SparkSession, file: Column, base: str) -> Column:
+    """The directory directly below ``base`` that holds the file.
+
+    The base is made fully qualified by the rules of its own file system, and
+    stripped from the start of the file's path only.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = system.makeQualified(path).toUri()
+    place = f"//{uri.getRawAuthority()}" if uri.getRawAuthority() else "(?://)?"
+    start = rf"^{uri.getScheme()}:{place}\Q{uri.getRawPath().rstrip('/')}\E/"
+    name = F.regexp_extract(file, rf"{start}([^/]+)/", 1)
     # File paths come with special characters percent-encoded; "+" stands for itself.
-    decoded = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
-    path = F.when(file.contains("%"), decoded).otherwise(file)
-    plain = posixpath.normpath(re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", base))
-    if plain == "." or plain.startswith(".."):
-        raise ValueError(f"give the corpus as an absolute path or by name, not as {base!r}")
-    below = "/".join(["", *filter(None, plain.split("/")), ""])
-    rest = F.substr(path, F.locate(below, path) + len(below))
-    return F.substring_index(rest, "/", 1)
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    strange = F.raise_error(F.concat(F.lit(f"not below {base}: "), file)).cast("string")
+    return F.when(name == "", strange).when(name.contains("%"), decoded).otherwise(name)
 
 
 def read_sources(
@@ -49,7 +53,7 @@ def read_sources(
     Only the chosen directories are listed and read.
     """
     base = base.rstrip("/")
-    source = _source_of(F.col("_metadata.file_path"), base)
+    source = _source_of(spark, F.col("_metadata.file_path"), base)
     lines = read_lines(spark, [f"{base}/{name}" for name in sources], recursive)
     return lines.select("value", source.alias("source"))
 
@@ -61,12 +65,11 @@ def split_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.select(*others, lines)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a scan out over all cores if it has at most half as many splits.
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt out to a number of partitions, or as they are for None.
 
-    Tokenizing is CPU-bound, so a small file with one row group would keep one
-    core busy. Any larger scan is returned as it is and never shuffled here.
-    Counting splits runs no job.
+    Tokenizing is CPU-bound, so a small file in one split keeps one core busy.
+    Whether that is worth a shuffle of text is the caller's choice; at scale a
+    scan has splits enough and should be left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+    return df.repartition(partitions) if partitions else df

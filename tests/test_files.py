@@ -2,16 +2,17 @@
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallywork.plans import jobs
 from tallywork.sinks import layout_path, write_counts, write_top
 from tallywork.sources import (
+    dealt,
     read_csv_table,
     read_lines,
     read_pair_counts,
     read_sources,
     read_token_counts,
-    spread,
 )
 
 
@@ -64,12 +65,46 @@ def test_source_names_with_special_characters(spark, tmp_path, name):
     assert rows(lines) == [("history", name)]
 
 
-def test_base_must_be_findable_in_file_paths(spark, corpus):
-    for base in (".", "..", "../corpus"):
-        with pytest.raises(ValueError):
-            read_sources(spark, base, ["AB"])
+def test_base_is_stripped_at_the_start_of_the_path_only(spark, corpus, monkeypatch):
     doubled = str(corpus).replace("/corpus/", "//corpus/./")
     assert rows(read_sources(spark, doubled, ["AB"])) == [("history 1234 archive", "AB")]
+    # A base whose name occurs again below it and above it.
+    put(corpus / "wiki" / "wiki" / "f.txt", "history\n")
+    assert rows(read_sources(spark, str(corpus), ["wiki"])) == [("history", "wiki")]
+    inner = corpus / "raw" / "wiki" / "AA" / "f.txt"
+    put(inner, "museum\n")
+    assert rows(read_sources(spark, str(inner.parents[1]), ["AA"])) == [("museum", "AA")]
+
+
+def label(spark, file, base):
+    from tallywork.sources.text import _source_of
+
+    return spark.range(1).select(_source_of(spark, F.lit(file), base)).first()[0]
+
+
+def test_host_or_bucket_named_like_the_folder(spark):
+    base = "viewfs://wiki/wiki"
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.wiki.link./wiki", "file:///tmp")
+    assert label(spark, "viewfs://wiki/wiki/AA/f.txt", base) == "AA"
+    for file in ("viewfs://wiki/raw/wiki/AA/f.txt", "viewfs://other/wiki/AA/f.txt", "/wiki/AA/f.txt"):
+        with pytest.raises(Exception, match="not below"):
+            label(spark, file, base)
+
+
+def test_relative_base_is_taken_from_the_working_directory(spark):
+    here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("wiki")
+    system = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = system.makeQualified(here).toString()
+    assert label(spark, f"{full}/AA/raw/wiki/AB/f.txt", "wiki") == "AA"
+
+
+def test_counts_up_to_64_bits(spark, tmp_path):
+    kept = {"a": 2**63 - 1, "b": -(2**63), "c": 42, "d": -7}
+    texts = {"a": str(2**63 - 1), "b": str(-(2**63)), "c": "0" * 40 + "42", "d": "-" + "0" * 20 + "7", "e": str(2**63), "f": "9" * 30}
+    put(tmp_path / "t" / "c.txt", "".join(f"{k}\t{v}\n" for k, v in texts.items()))
+    put(tmp_path / "u" / "c.txt", "".join(f"({k},{v})\n" for k, v in texts.items()))
+    assert dict(rows(read_token_counts(spark, str(tmp_path / "t")))) == kept
+    assert dict(rows(read_token_counts(spark, str(tmp_path / "u"), "tuple"))) == kept
 
 
 def test_counts_in_tsv_form(spark, tmp_path):
@@ -154,11 +189,16 @@ def test_csv_types_are_inferred_or_given(spark, tmp_path):
     assert dict(given.dtypes)["Fare"] == "string" and given.count() == 2
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, numPartitions=64)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_texts_are_dealt_out_only_on_demand(spark):
+    rows = spark.range(0, 100, numPartitions=3)
+    assert dealt(rows, None) is rows
+    assert dealt(rows, 5).select(F.spark_partition_id()).distinct().count() == 5
+
+
+def test_a_top_list_is_cut_to_k(spark, tmp_path):
+    top = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2)], "token string, cnt bigint")
+    write_top(top, str(tmp_path / "t"), k=2)
+    assert part_lines(tmp_path / "t") == [["b\t3", "c\t2"]]
 
 
 @pytest.mark.parametrize("form", ["tsv", "tuple"])

@@ -1,24 +1,25 @@
 """The physical plans keep the properties that matter at scale."""
 
+import re
 from types import SimpleNamespace
 
 import pytest
 
-import __spark_entry__ as entry
-from tallywork.session import fit_shuffles, scratch_path, settings_for, shuffle_partitions_for
+from tallywork.plans import registry
+from tallywork.session import TEXT_PARTITIONS, scratch_path, settings_for, shuffle_partitions_for
 
 SF_DIR = "/root/testdata/sf0.001"
 MIB = 1024 * 1024
 
 
 def plan(spark, name, capsys):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = registry.QUERIES[name](spark, SF_DIR)
     capsys.readouterr()
     df.explain()
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_workers_and_no_product_joins(spark, name, capsys):
     text = plan(spark, name, capsys)
     for bad in ("Python", "CartesianProduct", "NestedLoopJoin", "ExistingRDD"):
@@ -68,20 +69,28 @@ def test_scalars_are_subqueries(spark, capsys):
 def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(100 * 1024 * MIB, 8) == 400
-    assert shuffle_partitions_for(100 * 1024**2 * MIB, 8) == 40_000
-    assert settings_for(1024**2 * MIB, 8)["spark.sql.files.maxPartitionBytes"] == str(512 * MIB)
+    assert shuffle_partitions_for(100 * 1024**2 * MIB, 8) == 409_600
+    assert settings_for(1024**2 * MIB, 8, split_mib=512)["spark.sql.files.maxPartitionBytes"] == str(512 * MIB)
+    assert settings_for(1024 * MIB, 1, expansion=4)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_fit_shuffles_only_raises(spark):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    try:
-        fit_shuffles(spark.range(0, 10, numPartitions=4))
-        assert spark.conf.get(key) == before
-        fit_shuffles(spark.range(0, 10, numPartitions=64))
-        assert spark.conf.get(key) == "32"
-    finally:
-        spark.conf.set(key, before)
+def test_plans_have_one_shape_at_every_size(spark, capsys):
+    shapes = set()
+    for cores in ("4", "8"):
+        for sf in ("sf0.001", "sf0.1"):
+            spark.conf.set(TEXT_PARTITIONS, cores)
+            capsys.readouterr()
+            registry.pair_counts(spark, f"/root/testdata/{sf}").explain()
+            lines = capsys.readouterr().out.splitlines()
+            shapes.add(tuple(re.sub(r"[^A-Za-z].*", "", line.lstrip(" +-:*()0123456789")) for line in lines))
+    spark.conf.set(TEXT_PARTITIONS, "8")
+    assert len(shapes) == 1
+
+
+def test_queries_leave_the_session_as_it_is(spark):
+    before = spark.conf.getAll
+    registry.pair_counts(spark, SF_DIR)
+    assert spark.conf.getAll == before
 
 
 class Settings(dict):
@@ -97,6 +106,5 @@ def test_scratch_folder_follows_the_session(spark):
     shared = Settings("yarn", **{"spark.checkpoint.dir": "hdfs://nn/shared/"})
     first, second = scratch_path(shared, "x"), scratch_path(shared, "x")
     assert first.startswith("hdfs://nn/shared/x-") and first != second
-    assert scratch_path(Settings("local[8]"), "x")
-    with pytest.raises(RuntimeError):
-        scratch_path(Settings("yarn"), "x")
+    unset = Settings("yarn", **{"spark.sql.warehouse.dir": "hdfs://nn/warehouse"})
+    assert scratch_path(unset, "x").startswith("hdfs://nn/warehouse/scratch/x-")

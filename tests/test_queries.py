@@ -5,6 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tallywork.plans import registry
+from tallywork.plans.oracle import ORACLE
+from tallywork.sources import read_lines
 from tests.compare import database, duck_rows, spark_rows, types_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,17 +20,24 @@ def con():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    sql = entry.oracle_sql()[name]
+    df = registry.QUERIES[name](spark, SF_DIR)
+    sql = ORACLE[name]
     ours, theirs = types_of(df, con, sql)
     assert ours == theirs
     assert spark_rows(df) == duck_rows(con, sql)
 
 
 def test_only_the_approximate_median_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"median_approx"}
+    assert set(registry.QUERIES) - set(ORACLE) == {"median_approx"}
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+def test_recursion_is_what_finds_nested_files(spark):
+    path = registry.nested_corpus(spark, SF_DIR)
+    assert read_lines(spark, path).count() == 0
+    assert read_lines(spark, path, recursive=True).count() > 0
 
 
 def test_flagship_query(spark):
