@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions import null_default, rules
+from tallywork.session import scratch_path
 
 
 def _numbers(df: DataFrame, value: str, default: float | None) -> DataFrame:
@@ -20,6 +21,27 @@ def _numbers(df: DataFrame, value: str, default: float | None) -> DataFrame:
     return df.select(filled.cast("double").alias("v")).where(v.isNotNull() & ~F.isnan(v))
 
 
+def _sketched(values: DataFrame, size: int) -> DataFrame:
+    """One row with a KLL sketch of ``v``, merged in two levels.
+
+    Each task sends one sketch, at scale hundreds of thousands. They are merged
+    in ``SKETCH_GROUPS`` groups first, so the last task gets one per group.
+    """
+    dealt = values.select("v", (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
+    some = dealt.groupBy("sketch_group").agg(F.kll_sketch_agg_double("v", F.lit(size)).alias("sketch"))
+    return some.agg(F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"))
+
+
+SKETCH_GROUPS = 64
+#: The largest sketch: ranks are off by about one in ten thousand.
+SKETCH_SIZE = 65_535
+
+
+def _rank_error(size: int) -> float:
+    """How far off a rank is at most, nearly always, as a share of all rows."""
+    return 2.3 / size**0.9
+
+
 def median_approx(
     df: DataFrame,
     value: str,
@@ -28,45 +50,47 @@ def median_approx(
 ) -> DataFrame:
     """An element whose rank is within ``relative_error`` of the middle, as ``median``.
 
-    Each task sends one small summary; the value column is read once.
+    Each task sends one small sketch; the value column is read once. Sketches
+    of a tenth of the error wanted are used, as they draw lots.
     """
-    accuracy = math.ceil(1 / relative_error)
-    return _numbers(df, value, default).agg(
-        F.percentile_approx("v", 0.5, accuracy).alias("median")
-    )
+    size = min(SKETCH_SIZE, max(200, math.ceil((23 / relative_error) ** (1 / 0.9))))
+    values = _numbers(df, value, default)
+    middle = F.kll_sketch_get_quantile_double("sketch", F.lit(0.5))
+    known = F.kll_sketch_get_n_double("sketch") > 0
+    return _sketched(values, size).select(F.when(known, middle).alias("median"))
 
 
 def median_exact(
     df: DataFrame,
     value: str,
     default: float | None = rules.MISSING_VALUE_DEFAULT,
-    accuracy: int = 1000,
+    sketch_size: int = SKETCH_SIZE,
     settle_rows: int = 1_000_000,
 ) -> DataFrame:
     """The lower middle element, as ``median``; null if there are no values.
 
-    While more than ``settle_rows`` rows are left, a quantile summary gives two
-    values that enclose the wanted rank, and one pass counts the rows below
-    them, at them and between them. Either one of the two is the median, or
-    only the rows strictly between them are left: about one in a hundred,
-    whatever the distribution and however often a value repeats. The counts
-    are exact, so the summary only decides how fast this goes. The driver sees
-    one row per pass. The rows left at the end are ranked value by value.
+    While more than ``settle_rows`` rows are left, a sketch gives two values
+    that enclose the wanted rank, and one pass counts the rows below them, at
+    them and between them. Either one of the two is the median, or only the
+    rows strictly between them are left: about four in ten thousand, whatever
+    the distribution and however often a value repeats. They are written to
+    the shared folder, so the table is read four times however large it is.
+    The counts are exact, so sketches only decide how fast this goes. The
+    driver sees one row per pass. The rows left at the end, for which a table
+    of up to ``settle_rows`` needs no sketch, are ranked value by value.
     """
     v = F.col("v")
     left = _numbers(df, value, default)
-    seen = left.agg(F.count("*").alias("between"), _marks(v, accuracy)).first()
-    held, marks = seen["between"], seen["marks"]
-    rank, margin = (held + 1) // 2, 2 / accuracy
+    held = left.count()
+    rank, margin = (held + 1) // 2, 2 * _rank_error(sketch_size)
     while held > settle_rows:
-        low, high = _enclosing(marks, rank / held, margin)
+        low, high = _enclosing(left, sketch_size, rank / held, margin)
         inside = (v > low) & (v < high)
         seen = left.agg(
             F.count_if(v < low).alias("below"),
             F.count_if(v == low).alias("at_low"),
             F.count_if(inside).alias("between"),
             F.count_if((v == high) & (v > low)).alias("at_high"),
-            _marks(F.when(inside, v), accuracy),
         ).first()
         past_low = rank - seen["below"] - seen["at_low"]
         past_between = past_low - seen["between"]
@@ -76,8 +100,10 @@ def median_exact(
             found = low if past_low <= 0 else high
             return df.sparkSession.range(1).select(F.lit(found).alias("median"))
         else:
-            left, held, rank = left.where(inside), seen["between"], past_low
-            marks, margin = seen["marks"], 2 / accuracy
+            path = scratch_path(df.sparkSession, "median")
+            left.where(inside).write.parquet(path)
+            left, held, rank = df.sparkSession.read.parquet(path), seen["between"], past_low
+            margin = 2 * _rank_error(sketch_size)
     up_to = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = left.groupBy("v").agg(F.count("*").alias("cnt")).select(
         "v", F.sum("cnt").over(up_to).alias("reached")
@@ -86,19 +112,10 @@ def median_exact(
     return ranked.where(F.col("reached") >= rank).agg(F.min("v").alias("median"))
 
 
-MARKS = 500
-
-
-def _marks(v: Column, accuracy: int) -> Column:
-    """Evenly spaced approximate quantiles, from the least to the greatest."""
-    shares = [i / MARKS for i in range(MARKS + 1)]
-    return F.percentile_approx(v, shares, accuracy).alias("marks")
-
-
-def _enclosing(marks: list[float], share: float, margin: float) -> tuple[float, float]:
-    low = math.floor(max(share - margin, 0) * MARKS)
-    high = math.ceil(min(share + margin, 1) * MARKS)
-    return marks[low], marks[high]
+def _enclosing(values: DataFrame, size: int, share: float, margin: float) -> tuple[float, float]:
+    shares = F.array(F.lit(max(share - margin, 0.0)), F.lit(min(share + margin, 1.0)))
+    found = _sketched(values, size).select(F.kll_sketch_get_quantile_double("sketch", shares).alias("ends"))
+    return tuple(found.first()["ends"])
 
 
 def above_scalar(df: DataFrame, value: str, scalar: DataFrame) -> DataFrame:

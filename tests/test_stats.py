@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywork.operators import stats
 
@@ -71,7 +72,7 @@ def test_narrowing_finds_the_lower_middle_element(spark, shape):
     rng = random.Random(shape)
     values = [SHAPES[shape](rng) for _ in range(1001 + rng.randrange(2))]
     df = numbers(spark, values)
-    for options in ({}, {"settle_rows": 10}, {"settle_rows": 0, "accuracy": 20}):
+    for options in ({}, {"settle_rows": 10}, {"settle_rows": 0, "sketch_size": 20}):
         assert median(df, **options) == lower_middle(values)
 
 
@@ -108,6 +109,17 @@ def test_approximate_median_of_the_events(spark):
     assert below - 0.01 * len(values) <= len(values) / 2 <= up_to + 0.01 * len(values)
 
 
+def test_sketches_are_merged_in_groups(spark, capsys):
+    wide = spark.range(0, 10_000, numPartitions=500).select(F.col("id").cast("double").alias("v"))
+    sketch = stats._sketched(wide, 200)
+    capsys.readouterr()
+    sketch.explain()
+    text = capsys.readouterr().out
+    assert text.index("SinglePartition") < text.index("hashpartitioning(sketch_group")
+    found = sketch.select(F.kll_sketch_get_n_double("sketch").alias("n")).first()
+    assert found.n == 10_000
+
+
 def test_null_is_never_above(spark):
     df = numbers(spark, [None, 1.0, 2.0, 3.0])
     scalar = spark.createDataFrame([(2.0,)], "x double")
