@@ -37,7 +37,7 @@ STRETCH, PRIOR, REJECT_BELOW = 100, 20, -20.0
 SAMPLE_ROWS = 20_000
 SEED = 5
 #: Words a worker remembers the codes of; it starts anew beyond that.
-MEMORY = 400_000
+MEMORY = 200_000
 
 _KIND_OF_SYMBOL = {c: 6 + i % 6 for i, c in enumerate("#*$%&|<>!?.,;:-")}
 

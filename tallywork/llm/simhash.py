@@ -36,7 +36,7 @@ SEED = 42
 RADIUS = 4
 BITS = 64
 #: Variants that one bucket holds, about: 8 bytes each.
-BUCKET_VARIANTS = 4_000_000
+BUCKET_VARIANTS = 2_000_000
 
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
