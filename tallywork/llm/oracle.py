@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallywork.llm import licenses
+
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 # Excess is shared out again until no target is above its limit, which a
@@ -65,7 +67,66 @@ SELECT file, "offset", CASE rest WHEN 0 THEN 'changed' ELSE 'missing' END AS sta
        CASE rest WHEN 0 THEN sha256(left(data, length(data) - 1) || '!') END AS found
 FROM placed WHERE rest IN (0, 1)"""
 
+_LISTED = ",\n  ".join(
+    f"({n}, '{label}', {str(base).upper()}, '{text}')"
+    for n, (label, text, base) in enumerate(
+        [(label, text, True) for label, text in licenses.BASE_PHRASES]
+        + [(label, text, False) for label, text in licenses.TEMPLATES]
+    )
+)
+
+# Rows are told apart by their place in the table. A span is a chain of
+# diagonals; a template of n words has n - 2 runs of three.
+_LICENSES = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+listed(template, label, is_base, told) AS (VALUES
+  {_LISTED}),
+templates AS (SELECT *, string_split(told, ' ') AS w FROM listed),
+known AS (
+  SELECT template, label, is_base, len(w) - 2 AS n_runs, i - 1 AS q, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM templates)),
+runs AS (
+  SELECT n, i - 1 AS place, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM docs)
+  WHERE w[i] IN (SELECT a FROM known)),
+votes AS (
+  SELECT n, template, label, is_base, n_runs, place - q AS diagonal, count(*) AS votes,
+         min(place) AS first, max(place) AS last, min(q) AS begins, max(q) AS ends
+  FROM runs JOIN known USING (a, b, c) GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN NOT is_base AND abs(diagonal - lag(diagonal) OVER along) <= {licenses.SHIFT}
+                  AND first > lag(last) OVER along AND begins > lag(ends) OVER along
+                  AND first - lag(last) OVER along <= {licenses.GRAM_WORDS + licenses.SHIFT} THEN 0 ELSE 1 END AS opens
+  FROM votes WINDOW along AS (PARTITION BY n, template ORDER BY first, diagonal)),
+chained AS (
+  SELECT *, sum(opens) OVER (PARTITION BY n, template ORDER BY first, diagonal
+                             ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (
+  SELECT n, label, is_base, n_runs, sum(votes) AS votes, min(first) AS first_word, max(last) + 2 AS last_word
+  FROM chained GROUP BY n, template, label, is_base, n_runs, span),
+found AS (
+  SELECT *, least(1.0::DOUBLE, votes::DOUBLE / n_runs) AS share FROM spans
+  WHERE CASE WHEN is_base THEN votes = n_runs
+        ELSE votes::DOUBLE / n_runs >= {licenses.LEAST_SCORE}
+             AND last_word - first_word + 1 <= (n_runs + 2) * 1.25 + {licenses.SHIFT} END),
+summed AS (
+  SELECT n, count(*) FILTER (WHERE is_base) AS n_base,
+         min(first_word) FILTER (WHERE is_base) AS first_word, max(first_word) FILTER (WHERE is_base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE is_base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM found GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0::DOUBLE) AS score
+FROM docs LEFT JOIN summed USING (n)"""
+
 ORACLE: dict[str, str] = {
     "op1_merkle_audit": _AUDIT,
+    "op6_license_scan": _LICENSES,
     "op10_source_mixing": _MIXING,
 }
