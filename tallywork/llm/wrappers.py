@@ -41,6 +41,16 @@ ASIDE_NAMES = frozenset((
     "popup promo promoted recommended related replies search share sharing sidebar signup social sponsor "
     "sponsored subscribe toolbar widget"
 ).split())
+#: A class of these and more ("has-sidebar") is a state of the element, not its name.
+STATES = frozenset("has have is no non not show hide with without".split())
+#: Ends of a class that say where the element is or what it is made of.
+PLACES = frozenset(
+    "area articles bar block body bottom box button buttons container content group inner item items left links list "
+    "navigation outer panel post posts primary right secondary section slot stories top unit widget widgets wrap wrapper".split()
+)
+#: Readers' texts may outgrow the article.
+READER_NAMES = frozenset("comment comments disqus replies".split())
+WHOLE_TAGS = frozenset("html body main article".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 ARTICLE_NAMES = frozenset("article articlebody content entry post story".split())
 
@@ -214,16 +224,70 @@ def _aligned(left: list[Node], right: list[Node], same_page: bool) -> list[Node]
     return out
 
 
-def is_aside(name: str) -> bool:
-    """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comments."""
+def _purposes(said: str) -> set[str]:
+    """What the classes or ids of an element name: each whole, and its last part.
+
+    Of "sidebar-left" the last part is "sidebar", as "left" only says where.
+    """
+    out = set()
+    for token in said.split():
+        parts = [part for part in re.split(r"[^a-z]+", token) if part]
+        if not parts or (len(parts) > 1 and parts[0] in STATES):
+            continue
+        out.add(parts[-1])
+        while len(parts) > 1 and parts[-1] in PLACES:
+            parts.pop()
+            out.add(parts[-1])
+    return out
+
+
+def _aside_names(name: str) -> set[str]:
+    """The names that make an element an aside; the tag counts as one."""
     parts = re.split(r"([.#@!])", name)
-    if parts[0] in ASIDE_TAGS:
-        return True
+    if parts[0] in WHOLE_TAGS:
+        return set()
+    found = {parts[0]} & ASIDE_TAGS
     for mark, said in zip(parts[1::2], parts[2::2]):
-        words = set(re.split(r"[^a-z]+", said))
-        if mark in ".#" and words & ASIDE_NAMES or mark == "@" and words & ASIDE_ROLES:
-            return True
-    return False
+        found |= _purposes(said) & (ASIDE_NAMES if mark in ".#" else ASIDE_ROLES if mark == "@" else set())
+    return found
+
+
+def is_aside(name: str) -> bool:
+    """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comments by its name."""
+    return bool(_aside_names(name))
+
+
+def spared(pattern: Node) -> list[str]:
+    """Paths of elements that are asides by name but hold most of the text outside links.
+
+    A menu, header or form that holds more than half of it is what the page is
+    wrapped in. Readers' texts are not spared while an element outside of
+    asides holds an article.
+    """
+    asides: list[tuple] = []
+    article = False
+
+    def walk(node: Node, path: str, inside: bool) -> int:
+        nonlocal article
+        path = f"{path}/{node.name}"
+        if node.name == "#":
+            return node.chars - node.link_chars
+        names = _aside_names(node.name)
+        inside = inside or bool(names)
+        held = sum(walk(k, path, inside) for k in node.kids)
+        article = article or bool(not inside and held and _rank(node.name))
+        if names:
+            asides.append((path, held, names))
+        return held
+
+    total = walk(pattern, "", False)
+    by_path: dict[str, int] = {}
+    readers = set()
+    for path, held, names in asides:
+        by_path[path] = by_path.get(path, 0) + held
+        if names <= READER_NAMES:
+            readers.add(path)
+    return sorted(p for p, held in by_path.items() if 2 * held > total and not (article and p in readers))
 
 
 def _rank(name: str) -> int:
@@ -243,15 +307,17 @@ def plan(pattern: Node) -> dict:
     ``region`` is the path of the element that holds it: the one most surely
     an article, then the one with the most text. Without any, the whole page
     is the region and ``drop`` lists slots that are mostly links or, over
-    three pages or more, always the same.
+    three pages or more, always the same. ``spare`` lists elements that are
+    not asides in spite of their names.
     """
+    spare = spared(pattern)
     found: list[tuple] = []
     slots: list[tuple] = []
 
     def walk(node: Node, path: str) -> int:
-        if is_aside(node.name):
-            return 0
         path = f"{path}/{node.name}"
+        if is_aside(node.name) and path not in spare:
+            return 0
         if node.name == "#":
             slots.append((path, node))
             return node.chars
@@ -262,10 +328,10 @@ def plan(pattern: Node) -> dict:
 
     walk(pattern, "")
     if found:
-        return {"region": max(found)[3], "drop": []}
+        return {"region": max(found)[3], "drop": [], "spare": spare}
     fixed = lambda s: s.pages >= 3 and bool(s.seen)
     drop = [p for p, s in slots if 2 * s.link_chars > s.chars or fixed(s)]
-    return {"region": "/", "drop": sorted(set(drop))}
+    return {"region": "/", "drop": sorted(set(drop)), "spare": spare}
 
 
 def cut(page: Node, where: dict) -> str | None:
@@ -276,9 +342,9 @@ def cut(page: Node, where: dict) -> str | None:
 
     def walk(node: Node, path: str, inside: bool) -> None:
         nonlocal met
-        if is_aside(node.name):
-            return
         path = f"{path}/{node.name}"
+        if is_aside(node.name) and path not in where["spare"]:
+            return
         inside = inside or path == where["region"]
         met = met or inside
         if node.name == "#":

@@ -34,6 +34,23 @@ def test_a_page_by_its_own_pattern(name):
     assert (w.cut(tree, w.plan(w.fold(tree))) or "") == expected
 
 
+WRAPPED = {
+    "body": "<body class='has-sidebar home'><article><p>Story</p></article><div class='sidebar-left'>S</div></body>",
+    "state": "<body><div id=page class='no-sidebar'><div class=content><p>Story</p></div><div class=related-posts>R</div></div></body>",
+    "main": "<body><main class='site-main with-comments'><p>Story</p><div class=comment-list>C</div></main></body>",
+    "article": "<body><article class='post has-share'><p>Story</p><div class=share-buttons>S</div></article></body>",
+    "last part": "<body><article class='post share'><p class=ad-hoc>Story</p></article></body>",
+    "form": "<body><form id=all><div id=main-menu>M</div><div class=post><p>Story</p></div></form><div id=footer>F</div></body>",
+    "readers": "<body><div class=post><p>Story</p></div><div id=comments><p>Much longer than the story</p></div></body>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_what_holds_the_article_is_not_an_aside(name):
+    tree = w.parse(WRAPPED[name])
+    assert w.cut(tree, w.plan(w.fold(tree))) == "Story"
+
+
 def test_characters_are_decoded_like_html():
     tree = w.parse("<article><p>a&amp;b &#65;&#x42; &amp &am &nbsp;x &copy;&middot;</p></article>")
     assert w.cut(tree, w.plan(w.fold(tree))) == "a&b AB & &am x ©·"
