@@ -54,6 +54,9 @@ WHOLE_TAGS = frozenset("html body main article".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 ARTICLE_NAMES = frozenset("article articlebody content entry post story".split())
 
+#: Different pages a text must be the same on to be fixed.
+FIXED_ON = 3
+
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(?=[A-Za-z/])[^<>]*\Z""",
@@ -65,23 +68,25 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)
 class Node:
     """An element of a page or of a pattern; a text slot has the name ``#``."""
 
-    __slots__ = ("name", "kids", "text", "links", "repeats", "optional", "pages", "chars", "link_chars", "seen")
+    __slots__ = ("name", "kids", "text", "links", "repeats", "optional", "pages", "chars", "link_chars", "seen", "contents")
 
     def __init__(self, name: str):
         self.name, self.kids = name, []
         self.text, self.links = "", 0
         self.repeats = self.optional = False
         self.pages, self.chars, self.link_chars, self.seen = 1, 0, 0, None
+        # Marks of the least contents of different pages that have the slot.
+        self.contents: list[int] = []
 
     def as_list(self) -> list:
-        return [self.name, int(self.repeats), int(self.optional), self.pages, self.chars, self.link_chars, self.seen, [k.as_list() for k in self.kids]]
+        return [self.name, int(self.repeats), int(self.optional), self.pages, self.chars, self.link_chars, self.seen, self.contents, [k.as_list() for k in self.kids]]
 
     @staticmethod
     def from_list(row: list) -> Node:
         node = Node(row[0])
         node.repeats, node.optional = bool(row[1]), bool(row[2])
-        node.pages, node.chars, node.link_chars, node.seen = row[3:7]
-        node.kids = [Node.from_list(k) for k in row[7]]
+        node.pages, node.chars, node.link_chars, node.seen, node.contents = row[3:8]
+        node.kids = [Node.from_list(k) for k in row[8]]
         return node
 
 
@@ -152,15 +157,45 @@ def parse(page: str | None) -> Node:
             open_nodes.append(node)
 
 
-def fold(node: Node) -> Node:
+def _mark(words: str) -> int:
+    return zlib.crc32(words.encode("utf-8", "surrogatepass"))
+
+
+def _content(page: Node) -> int:
+    """A mark of what a page says outside of asides and links: the same for copies."""
+    said: list[str] = []
+
+    def walk(node: Node) -> None:
+        if node.name == "#":
+            words = " ".join(node.text.split())
+            if words and not _mostly_links(node, words):
+                said.append(words)
+        elif not is_aside(node.name):
+            for kid in node.kids:
+                walk(kid)
+
+    walk(page)
+    return _mark("\n".join(said))
+
+
+def _mostly_links(text: Node, words: str) -> bool:
+    return 2 * min(text.links, len(words)) > len(words)
+
+
+def _is_blank(node: Node) -> bool:
+    return node.name == "#" and node.text.isspace()
+
+
+def fold(node: Node, content: int | None = None) -> Node:
     """The pattern of one page: texts become slots, repeated siblings one group."""
+    content = _content(node) if content is None else content
     out = Node(node.name)
     if node.name == "#":
         words = " ".join(node.text.split())
         out.chars, out.link_chars = len(words), min(node.links, len(words))
-        out.seen = zlib.crc32(words.encode("utf-8", "surrogatepass"))
+        out.seen, out.contents = _mark(words), [content]
         return out
-    kids = [fold(k) for k in node.kids if k.name != "#" or not k.text.isspace()]
+    kids = [fold(k, content) for k in node.kids if not _is_blank(k)]
     for period in (1, 2):
         kids = _squares(kids, period)
     out.kids = kids
@@ -196,6 +231,7 @@ def merge(a: Node, b: Node, same_page: bool = False) -> Node:
     out.chars, out.link_chars = a.chars + b.chars, a.link_chars + b.link_chars
     # The slot's text as long as it is always the same, then 0.
     out.seen = a.seen if a.seen == b.seen else 0
+    out.contents = sorted({*a.contents, *b.contents})[:FIXED_ON]
     out.kids = _aligned(a.kids, b.kids, same_page)
     return out
 
@@ -306,20 +342,19 @@ def plan(pattern: Node) -> dict:
 
     ``region`` is the path of the element that holds it: the one most surely
     an article, then the one with the most text. Without any, the whole page
-    is the region and ``drop`` lists slots that are mostly links or, over
-    three pages or more, always the same. ``spare`` lists elements that are
-    not asides in spite of their names.
+    is the region and ``drop`` has the slots that are mostly links or, over
+    three different pages or more, always the same, in their places in the
+    pattern. ``spare`` lists elements that are not asides in spite of their
+    names.
     """
     spare = spared(pattern)
     found: list[tuple] = []
-    slots: list[tuple] = []
 
     def walk(node: Node, path: str) -> int:
         path = f"{path}/{node.name}"
         if is_aside(node.name) and path not in spare:
             return 0
         if node.name == "#":
-            slots.append((path, node))
             return node.chars
         held = sum(walk(k, path) for k in node.kids)
         if _rank(node.name) and held:
@@ -328,19 +363,68 @@ def plan(pattern: Node) -> dict:
 
     walk(pattern, "")
     if found:
-        return {"region": max(found)[3], "drop": [], "spare": spare}
-    fixed = lambda s: s.pages >= 3 and bool(s.seen)
-    drop = [p for p, s in slots if 2 * s.link_chars > s.chars or fixed(s)]
-    return {"region": "/", "drop": sorted(set(drop)), "spare": spare}
+        return {"region": max(found)[3], "drop": None, "spare": spare}
+    drop = _dropped(pattern)
+    return {"region": "/", "drop": drop if drop[3] else None, "spare": spare}
+
+
+def _dropped(node: Node) -> list:
+    """Name, whether mostly links, mark of a fixed text or 0, and children if any has such a slot below."""
+    links = fixed = 0
+    if node.name == "#":
+        links = int(2 * node.link_chars > node.chars)
+        fixed = node.seen if len(node.contents) >= FIXED_ON else 0
+    kids = [_dropped(k) for k in node.kids]
+    return [node.name, links, fixed, kids if any(k[1] or k[2] or k[3] for k in kids) else []]
+
+
+def _runs(kids: list[Node]) -> list[tuple[str, list[Node]]]:
+    """Siblings grouped as ``fold`` groups them."""
+    runs = [(k.name, [k]) for k in kids if not _is_blank(k)]
+    for period in (1, 2):
+        out, i = [], 0
+        while i < len(runs):
+            names = [name for name, _ in runs[i : i + period]]
+            group, j = [(name, list(ones)) for name, ones in runs[i : i + period]], i + period
+            while len(names) == period and [name for name, _ in runs[j : j + period]] == names:
+                for k in range(period):
+                    group[k][1].extend(runs[j + k][1])
+                j += period
+            if j > i + period:
+                out += group
+                i = j
+            else:
+                out.append(runs[i])
+                i += 1
+        runs = out
+    return runs
+
+
+def _placed(kids: list[Node], slots: list[list]) -> dict[int, list]:
+    """The place in the pattern of each child, by ``id``.
+
+    The groups of a page are a subsequence of those of its host's pattern;
+    each goes to the first place left, which is what aligning does.
+    """
+    out, at = {}, 0
+    for name, ones in _runs(kids):
+        place = next((i for i in range(at, len(slots)) if slots[i][0] == name), None)
+        if place is not None:
+            at = place + 1
+            out |= {id(one): slots[place] for one in ones}
+    return out
 
 
 def cut(page: Node, where: dict) -> str | None:
-    """The blocks of a page's region, one per line; None if it has no such region."""
+    """The blocks of a page's region, one per line; None if it has no such region.
+
+    A text in a slot to drop goes only if it is mostly links or the fixed text
+    itself.
+    """
     blocks: list[str] = []
     met = False
-    drop = set(where["drop"])
 
-    def walk(node: Node, path: str, inside: bool) -> None:
+    def walk(node: Node, path: str, inside: bool, place: list | None) -> None:
         nonlocal met
         path = f"{path}/{node.name}"
         if is_aside(node.name) and path not in where["spare"]:
@@ -349,12 +433,14 @@ def cut(page: Node, where: dict) -> str | None:
         met = met or inside
         if node.name == "#":
             words = " ".join(node.text.split())
-            if inside and words and path not in drop:
+            drop = place and (place[1] and _mostly_links(node, words) or place[2] and place[2] == _mark(words))
+            if inside and words and not drop:
                 blocks.append(words)
+        places = _placed(node.kids, place[3]) if place and place[3] else {}
         for kid in node.kids:
-            walk(kid, path, inside)
+            walk(kid, path, inside, places.get(id(kid)))
 
-    walk(page, "", False)
+    walk(page, "", False, where["drop"])
     return "\n".join(blocks) if met else None
 
 

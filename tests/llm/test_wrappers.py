@@ -80,6 +80,31 @@ def test_pattern_without_an_article_drops_links_and_fixed_text(spark):
     assert {r.page_id: r.text for r in got.collect()} == expected
 
 
+def texts_of(pages):
+    """The texts of pages of one host, by the host's pattern."""
+    trees = [w.parse(p) for p in pages]
+    whole = w.fold(trees[0])
+    for tree in trees[1:]:
+        whole = w.merge(whole, w.fold(tree))
+    where = w.plan(w.Node.from_list(whole.as_list()))
+    return [w.cut(tree, where) for tree in trees]
+
+
+def test_a_fixed_slot_takes_no_other_slot_of_its_parent_along():
+    stories = [tables.prose(RNG, 20) for _ in range(4)]
+    pages = [f"<body><p>{s}</p><p>more {i}</p><hr><p>Same on all</p><img><img><p><a href=/>{i} link</a></p></body>" for i, s in enumerate(stories)]
+    assert texts_of(pages) == [f"{s}\nmore {i}" for i, s in enumerate(stories)]
+    pages[3] = f"<body><p>{stories[3]}</p><hr><p>Not the same</p></body>"
+    assert texts_of(pages)[3] == f"{stories[3]}\nNot the same"
+
+
+def test_copies_of_one_page_fix_no_slot():
+    copy = "<body><h1>Title</h1><p>The only words</p></body>"
+    assert texts_of([copy] * 5) == ["Title\nThe only words"] * 5
+    other = "<body><h1>Other</h1><p>Other words</p></body>"
+    assert texts_of([copy, other] * 3) == ["Title\nThe only words", "Other\nOther words"] * 3
+
+
 def test_hosts_have_their_own_wrappers_and_odd_pages_their_own_cut(spark):
     a, b = page("<div class=post><p>a WORDS</p></div><div class=story><p>x</p></div>"), page("<div class=story><p>b WORDS and more of it</p></div>")
     pages = [(i, "https://A.example:80/p", a.replace("WORDS", "long " * 9)) for i in range(4)]
