@@ -56,6 +56,9 @@ ARTICLE_NAMES = frozenset("article articlebody content entry post story".split()
 
 #: Different pages a text must be the same on to be fixed.
 FIXED_ON = 3
+#: A region beside the one with the longest element holds this share of it at least.
+BESIDE = 0.25
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _TOKEN = re.compile(
@@ -68,7 +71,7 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)
 class Node:
     """An element of a page or of a pattern; a text slot has the name ``#``."""
 
-    __slots__ = ("name", "kids", "text", "links", "repeats", "optional", "pages", "chars", "link_chars", "seen", "contents")
+    __slots__ = ("name", "kids", "text", "links", "repeats", "optional", "pages", "chars", "link_chars", "seen", "contents", "count")
 
     def __init__(self, name: str):
         self.name, self.kids = name, []
@@ -77,16 +80,17 @@ class Node:
         self.pages, self.chars, self.link_chars, self.seen = 1, 0, 0, None
         # Marks of the least contents of different pages that have the slot.
         self.contents: list[int] = []
+        self.count = 1
 
     def as_list(self) -> list:
-        return [self.name, int(self.repeats), int(self.optional), self.pages, self.chars, self.link_chars, self.seen, self.contents, [k.as_list() for k in self.kids]]
+        return [self.name, int(self.repeats), int(self.optional), self.pages, self.chars, self.link_chars, self.seen, self.contents, self.count, [k.as_list() for k in self.kids]]
 
     @staticmethod
     def from_list(row: list) -> Node:
         node = Node(row[0])
         node.repeats, node.optional = bool(row[1]), bool(row[2])
-        node.pages, node.chars, node.link_chars, node.seen, node.contents = row[3:8]
-        node.kids = [Node.from_list(k) for k in row[8]]
+        node.pages, node.chars, node.link_chars, node.seen, node.contents, node.count = row[3:9]
+        node.kids = [Node.from_list(k) for k in row[9]]
         return node
 
 
@@ -231,6 +235,7 @@ def merge(a: Node, b: Node, same_page: bool = False) -> Node:
     out.chars, out.link_chars = a.chars + b.chars, a.link_chars + b.link_chars
     # The slot's text as long as it is always the same, then 0.
     out.seen = a.seen if a.seen == b.seen else 0
+    out.count = a.count + b.count
     out.contents = sorted({*a.contents, *b.contents})[:FIXED_ON]
     out.kids = _aligned(a.kids, b.kids, same_page)
     return out
@@ -337,47 +342,110 @@ def _rank(name: str) -> int:
     return int(bool(said & ARTICLE_NAMES))
 
 
-def plan(pattern: Node) -> dict:
-    """Where the article stands in pages of this pattern.
+def _fixed(slot: Node) -> int:
+    """The mark of a slot's text if it is the same on enough different pages, or 0."""
+    return slot.seen if len(slot.contents) >= FIXED_ON else 0
 
-    ``region`` is the path of the element that holds it: the one most surely
-    an article, then the one with the most text. Without any, the whole page
-    is the region and ``drop`` has the slots that are mostly links or, over
-    three different pages or more, always the same, in their places in the
-    pattern. ``spare`` lists elements that are not asides in spite of their
-    names.
+
+class _Region:
+    """What the elements of one path hold outside of asides."""
+
+    def __init__(self) -> None:
+        self.varies = self.chars = self.count = self.pages = 0
+
+    def per_page(self) -> float:
+        return self.varies / self.pages
+
+    def each(self) -> float:
+        return self.varies / self.count
+
+
+def _regions(pattern: Node, spare: list[str]) -> list[str]:
+    """Paths of the elements that hold the article, the leading one first; none for the whole page.
+
+    What varies from page to page and is no link decides. An element counts in
+    place of what stands in it, unless a surer name in it holds all the same
+    text. The leading path has the longest element, so that a group of many
+    short ones does not hide a long one; others count beside it from a share
+    of ``BESIDE`` on, taken over the page. Paths that miss half of what varies
+    on the host are not where its article stands.
     """
-    spare = spared(pattern)
-    found: list[tuple] = []
+    found: dict[str, _Region] = {}
 
-    def walk(node: Node, path: str) -> int:
+    def walk(node: Node, path: str) -> tuple[int, int, dict[str, tuple[int, int]]]:
         path = f"{path}/{node.name}"
         if is_aside(node.name) and path not in spare:
-            return 0
+            return 0, 0, {}
         if node.name == "#":
-            return node.chars
-        held = sum(walk(k, path) for k in node.kids)
-        if _rank(node.name) and held:
-            found.append((_rank(node.name), held, -len(path), path))
-        return held
+            return 0 if _fixed(node) else node.chars - node.link_chars, node.chars, {}
+        below = [walk(k, path) for k in node.kids]
+        varies, chars = sum(v for v, _, _ in below), sum(c for _, c, _ in below)
+        inner: dict[str, tuple[int, int]] = {}
+        for _, _, paths in below:
+            for p, (v, c) in paths.items():
+                inner[p] = (inner.get(p, (0, 0))[0] + v, inner.get(p, (0, 0))[1] + c)
+        rank = _rank(node.name)
+        if not rank or not chars or node.name.startswith(("html", "body")):
+            return varies, chars, inner
+        one = found.setdefault(path, _Region())
+        one.varies, one.chars = one.varies + varies, one.chars + chars
+        one.count, one.pages = one.count + node.count, max(one.pages, node.pages)
+        if len(inner) == 1:
+            (only, held), = inner.items()
+            if _rank(only.rsplit("/", 1)[1]) > rank and (held[0] == varies > 0 or held[1] == chars):
+                return varies, chars, inner
+        return varies, chars, {path: (varies, chars)}
+
+    total, _, paths = walk(pattern, "")
+    paths = {p for p in paths if not any(p.startswith(f"{q}/") for q in paths)}
+    rank = {p: _rank(p.rsplit("/", 1)[1]) for p in paths}
+    order = sorted(paths, key=lambda p: (found[p].each(), rank[p], found[p].chars, p), reverse=True)
+    if not order:
+        return []
+    least = BESIDE * found[order[0]].each()
+    order = [p for p in order if p == order[0] or found[p].varies and found[p].per_page() >= least]
+    return order if 2 * sum(found[p].varies for p in order) >= total else []
 
-    walk(pattern, "")
-    if found:
-        return {"region": max(found)[3], "drop": None, "spare": spare}
-    drop = _dropped(pattern)
-    return {"region": "/", "drop": drop if drop[3] else None, "spare": spare}
 
+def plan(pattern: Node) -> dict:
+    """Where the article stands in pages of this pattern.
+
+    ``region`` is the path of the elements that hold it and ``beside`` those
+    of others that count as well; without any, the whole page is the region.
+    ``drop`` has slots to leave out, in their places in the pattern: those
+    always the same over three different pages or more; those mostly links,
+    which in a named region must be repeated, on three different pages, and no
+    headings. ``spare`` lists elements that are not asides in spite of their
+    names.
+    """
+    spare = spared(pattern)
+    region, *beside = _regions(pattern, spare) or ["/"]
+    drop = _dropped(pattern, "", {region, *beside}, region == "/", False)
+    return {"region": region, "beside": beside, "drop": drop if drop[3] else None, "spare": spare}
 
-def _dropped(node: Node) -> list:
-    """Name, whether mostly links, mark of a fixed text or 0, and children if any has such a slot below."""
+
+def _dropped(node: Node, path: str, regions: set[str], inside: bool, listed: bool) -> list:
+    """Name, whether to drop links, mark of a fixed text or 0, and children if any has such a slot below.
+
+    ``listed`` says whether the links may go: they do everywhere if the page
+    is the region, else in repeated groups.
+    """
+    path = f"{path}/{node.name}"
+    whole = "/" in regions
+    listed = (whole or listed or (inside and node.repeats)) and (whole or not _is_heading(node.name))
+    inside = inside or path in regions
     links = fixed = 0
-    if node.name == "#":
-        links = int(2 * node.link_chars > node.chars)
-        fixed = node.seen if len(node.contents) >= FIXED_ON else 0
-    kids = [_dropped(k) for k in node.kids]
+    if node.name == "#" and inside:
+        links = int(listed and 2 * node.link_chars > node.chars and (whole or len(node.contents) >= FIXED_ON))
+        fixed = _fixed(node)
+    kids = [_dropped(k, path, regions, inside, listed) for k in node.kids]
     return [node.name, links, fixed, kids if any(k[1] or k[2] or k[3] for k in kids) else []]
 
 
+def _is_heading(name: str) -> bool:
+    return re.split(r"[.#@!]", name, maxsplit=1)[0] in HEADINGS
+
+
 def _runs(kids: list[Node]) -> list[tuple[str, list[Node]]]:
     """Siblings grouped as ``fold`` groups them."""
     runs = [(k.name, [k]) for k in kids if not _is_blank(k)]
@@ -416,21 +484,22 @@ def _placed(kids: list[Node], slots: list[list]) -> dict[int, list]:
 
 
 def cut(page: Node, where: dict) -> str | None:
-    """The blocks of a page's region, one per line; None if it has no such region.
+    """The blocks of a page's regions, one per line; None if it lacks the leading region.
 
     A text in a slot to drop goes only if it is mostly links or the fixed text
     itself.
     """
     blocks: list[str] = []
     met = False
+    regions = {where["region"], *where["beside"]}
 
     def walk(node: Node, path: str, inside: bool, place: list | None) -> None:
         nonlocal met
         path = f"{path}/{node.name}"
         if is_aside(node.name) and path not in where["spare"]:
             return
-        inside = inside or path == where["region"]
-        met = met or inside
+        inside = inside or path in regions
+        met = met or path == where["region"]
         if node.name == "#":
             words = " ".join(node.text.split())
             drop = place and (place[1] and _mostly_links(node, words) or place[2] and place[2] == _mark(words))

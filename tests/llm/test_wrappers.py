@@ -105,6 +105,31 @@ def test_copies_of_one_page_fix_no_slot():
     assert texts_of([copy, other] * 3) == ["Title\nThe only words", "Other\nOther words"] * 3
 
 
+def test_cards_by_tag_do_not_hide_the_story():
+    stories = [tables.prose(RNG, 60) for _ in range(4)]
+    pages = [f"<body><main><p>{s}</p></main>" + "".join(f"<article class=card><p>{i} card {j}</p></article>" for j in range(3)) for i, s in enumerate(stories)]
+    assert texts_of(pages) == stories
+    pages = [p.replace(" card ", " card " + "long " * 10) for p in pages]
+    assert all(t.startswith(s) and "card" in t for t, s in zip(texts_of(pages), stories))
+
+
+def test_elements_side_by_side_are_all_regions():
+    first, second = [tables.prose(RNG, 30) for _ in range(4)], [tables.prose(RNG, 20) for _ in range(4)]
+    pages = [f"<body><div class=story><p>{a}</p></div><div class=post><p>{b}</p></div></body>" for a, b in zip(first, second)]
+    assert texts_of(pages) == [f"{a}\n{b}" for a, b in zip(first, second)]
+
+
+def test_a_name_does_not_hide_a_story_outside_of_it():
+    stories = [tables.prose(RNG, 60) for _ in range(4)]
+    assert texts_of(f"<body class=single-post><h1>{s[:9]}</h1><div><p>{s}</p></div><div class=post-meta>{i} o'clock</div></body>" for i, s in enumerate(stories)) == [f"{s[:9]}\n{s}\n{i} o'clock" for i, s in enumerate(stories)]
+
+
+def test_fixed_and_link_slots_go_inside_a_region():
+    stories = [tables.prose(RNG, 30) for _ in range(4)]
+    pages = [f"<body><article><h1><a href=/>Title {i}</a></h1><div>Sign up for our letter</div><p>{s}</p><ul><li><a href=/>{i} a</a><li><a href=/>{i} b</a></ul></article></body>" for i, s in enumerate(stories)]
+    assert texts_of(pages) == [f"Title {i}\n{s}" for i, s in enumerate(stories)]
+
+
 def test_hosts_have_their_own_wrappers_and_odd_pages_their_own_cut(spark):
     a, b = page("<div class=post><p>a WORDS</p></div><div class=story><p>x</p></div>"), page("<div class=story><p>b WORDS and more of it</p></div>")
     pages = [(i, "https://A.example:80/p", a.replace("WORDS", "long " * 9)) for i in range(4)]
