@@ -141,7 +141,7 @@ def csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "top_words")
-    write_top(top_words(spark, sf_dir), path)
+    write_top(top_words(spark, sf_dir), path, k=rules.TOP_K)
     return read_token_counts(spark, path)
 
 

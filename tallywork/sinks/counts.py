@@ -42,9 +42,16 @@ def write_counts(counts: DataFrame, path: str, form: str = "tsv") -> None:
 
 
 def write_top(
-    top: DataFrame, path: str, form: str = "tsv", k: int = rules.TOP_K
+    top: DataFrame, path: str, form: str = "tsv", k: int | None = None
 ) -> None:
-    """Write the first k rows of a top list as one file in rank order."""
+    """Write the first k rows of a top list as one file in rank order.
+
+    Without k nothing is cut: a list of more than ``TOP_K`` rows is refused.
+    """
+    if k is None:
+        k = rules.TOP_K
+        if top.limit(k + 1).count() > k:
+            raise ValueError(f"the list has more than {k} rows; name k")
     rows = top.select(key_of(top).alias("key"), "cnt").orderBy(F.desc("cnt"), "key").limit(k)
     rows.coalesce(1).sortWithinPartitions(F.desc("cnt"), "key").select(
         render(F.col("key"), F.col("cnt"), form).alias("value")

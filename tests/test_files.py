@@ -219,3 +219,11 @@ def test_series_equals_the_single_jobs(spark, corpus, tmp_path, form):
     top = tmp_path / "series" / "job=top_words" / "range=AA-AC"
     ranked = ["(history,5)", "(archive,3)", "(museum,2)"]
     assert part_lines(top) == [ranked if form == "tuple" else [r[1:-1].replace(",", "\t") for r in ranked]]
+
+
+def test_a_long_top_list_is_never_cut_without_k(spark, tmp_path):
+    top = spark.range(1, 102).selectExpr("cast(id AS string) AS token", "id AS cnt")
+    with pytest.raises(ValueError):
+        write_top(top, str(tmp_path / "t"))
+    write_top(top, str(tmp_path / "t"), k=101)
+    assert len(part_lines(tmp_path / "t")[0]) == 101
