@@ -29,9 +29,9 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE_LENGTH = 6
 
 _EDGE = r"A-Za-z0-9+/_=-"
-WEAK_ID = rf"(?<![{_EDGE}])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{{16,32}}(?![{_EDGE}])"
+WEAK_ID = rf"(?<![{_EDGE}])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{{16,}}+(?![{_EDGE}])"
 _VARIED = r"(?=[^a-z\s]*[a-z])(?=[^A-Z\s]*[A-Z])(?=[^0-9\s]*[0-9])"
-WEAK_SECRET = rf"(?<![{_EDGE}]){_VARIED}[A-Za-z0-9+/_-]{{32,64}}={{0,2}}(?![{_EDGE}])"
+WEAK_SECRET = rf"(?<![{_EDGE}]){_VARIED}[A-Za-z0-9+/_-]{{32,}}+={{0,2}}(?![{_EDGE}])"
 ENDPOINT = r"(?:https?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~-]+(?::[0-9]+)?"
 
 #: name, pattern, role, strong; in the order that breaks ties of place.

@@ -71,3 +71,9 @@ def test_redaction_replaces_spans_only(spark):
 def test_scan_runs_no_python(spark):
     plan = credentials.scan(tables.documents(spark, tables.ODD))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_bare_parts_may_be_of_any_length(spark):
+    long_key, long_id = KEY + "aB3/" * 13 + "==", ID * 4
+    got = spans(spark, f"https://h.example.com/ {long_key}", f"{long_id} {KEY}", f"{long_key}=")
+    assert got == [f"endpoint:0:21,key:23:{23 + len(long_key)}", "id:0:64,key:65:101", ""]
