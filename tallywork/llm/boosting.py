@@ -233,8 +233,10 @@ def fit_quality(counted: DataFrame, labels: DataFrame, label: str = "quality", m
     The driver gets the counts of these rows, ten numbers each, not texts.
     """
     sample = F.broadcast(labelled_ids(labels, label, most))
-    rows = counted.join(sample, counted["key_id"] == sample["doc_id"]).select(*COUNTS, "label")
-    rows = rows.orderBy(*COUNTS, "label").limit(most).toPandas()
+    rows = counted.join(sample, counted["key_id"] == sample["doc_id"]).select("key_id", *COUNTS, "label")
+    # Where ids repeat there may be more rows than ids: a hash of the row picks.
+    order = [*COUNTS, "label"]
+    rows = rows.orderBy(F.xxhash64("key_id", *COUNTS), *order).limit(most).select(*order).toPandas().sort_values(order)
     signs = np.array([sign for _, sign in FEATURES])
     return fit(features_of(rows), rows["label"].to_numpy(np.float64), signs)
 

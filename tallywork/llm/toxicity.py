@@ -143,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("id"), text_or_empty(F.col(text)).alias("text"))
     rows = rows.join(sample, rows["id"] == sample["sample_id"])
     listed = F.pandas_udf(_word_lists, StringType())("text").alias("words")
-    rows = rows.select("id", listed, "label").orderBy("id", "words").limit(most).toPandas()
+    # Where ids repeat there may be more rows than ids: a hash of the row picks.
+    rows = rows.select("id", listed, "label").orderBy(F.xxhash64("id", "words"), "id", "words").limit(most).toPandas()
+    rows = rows.sort_values(["id", "words"])
     texts = (set(w.split(" ")) - {""} for w in rows["words"])
     return fit_words(texts, rows["label"].to_numpy(np.float64))
 

@@ -83,3 +83,13 @@ def test_without_labels_or_rows(spark):
     docs = tables.documents(spark, tables.ODD)
     assert {r.score for r in boosting.judge(docs, none).collect()} == {0.5}
     assert boosting.judge(docs.limit(0), none).isEmpty()
+
+
+def test_the_bound_on_rows_of_repeated_ids_selects_by_no_count(spark, monkeypatch):
+    rows = [(1, n) + (0,) * (len(boosting.COUNTS) - 1) for n in range(200)]
+    counted = spark.createDataFrame(rows, "key_id bigint, " + ", ".join(f"{c} bigint" for c in ["n_words", *(c for c in boosting.COUNTS if c != "n_words")]))
+    learnt = []
+    monkeypatch.setattr(boosting, "features_of", lambda rows: learnt.append(rows))
+    monkeypatch.setattr(boosting, "fit", lambda *_: None)
+    boosting.fit_quality(counted, spark.createDataFrame([(1, 1, 0)], tables.LABELS), most=20)
+    assert len(learnt[0]) == 20 and learnt[0]["n_words"].max() > 100
