@@ -125,8 +125,62 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
        coalesce(score, 0.0::DOUBLE) AS score
 FROM docs LEFT JOIN summed USING (n)"""
 
+# A tree is built level by level, and a proof level by level again, without
+# jumps. The lowest bit of a crc32 comes from its rule, bit by bit. The null
+# group is named "", the others have a stroke before their name.
+_HASH_FIELDS = " || ".join(
+    f"coalesce(CAST(strlen(CAST({f} AS VARCHAR)) AS VARCHAR) || ':' || CAST({f} AS VARCHAR), '-')"
+    for f in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+_CRC_EVEN = """xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                 lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda x, y: xor(xor(x, y) >> 1, (xor(x, y) & 1) * 3988292384)), 4294967295) & 1 = 0"""
+_LEVELS = """
+  SELECT tree, 0 AS level, spot, held, digest, CAST(NULL AS VARCHAR[]) AS children FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, spot // 3, CAST(any_value(ceil(held / 3)) AS BIGINT),
+         sha256(string_agg(digest, '' ORDER BY spot)), list(digest ORDER BY spot)
+  FROM {name} WHERE held > 1 GROUP BY tree, level, spot // 3"""
+_MANIFEST = f"""
+WITH RECURSIVE rows AS (
+  SELECT *, coalesce('/' || source, '') AS tree, sha256({_HASH_FIELDS.format(text="text")}) AS digest,
+         CASE WHEN coalesce({_CRC_EVEN}, FALSE) THEN replace(text, chr(10), '') ELSE text END AS told
+  FROM documents),
+leaves AS (
+  SELECT doc_id, tree, digest, sha256({_HASH_FIELDS.format(text="told")}) AS tampered,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS spot,
+         count(*) OVER (PARTITION BY tree) AS held
+  FROM rows),
+levels AS ({_LEVELS.format(leaves="leaves", name="levels")}),
+subroots AS (
+  SELECT 'top' AS tree, tree AS below, digest, row_number() OVER (ORDER BY tree) - 1 AS spot, count(*) OVER () AS held
+  FROM levels WHERE held = 1),
+tops AS ({_LEVELS.format(leaves="subroots", name="tops")}),
+paths AS (
+  SELECT doc_id, digest AS leaf, tampered, l.tree AS below, l.tree, 0 AS level, l.spot, '' AS told, tampered AS folded
+  FROM leaves l
+  UNION ALL
+  SELECT doc_id, leaf, tampered, p.below,
+         CASE WHEN n.tree IS NULL THEN 'top' ELSE p.tree END, CASE WHEN n.tree IS NULL THEN 0 ELSE p.level + 1 END,
+         CASE WHEN n.tree IS NULL THEN s.spot ELSE p.spot // 3 END,
+         CASE WHEN n.tree IS NULL THEN told
+              ELSE told || array_to_string(children[:p.spot % 3] || children[p.spot % 3 + 2:], '') END,
+         CASE WHEN n.tree IS NULL THEN folded
+              ELSE sha256(array_to_string(children[:p.spot % 3] || [folded] || children[p.spot % 3 + 2:], '')) END
+  FROM paths p
+  LEFT JOIN (SELECT * FROM levels UNION ALL SELECT * FROM tops) n
+    ON n.tree = p.tree AND n.level = p.level + 1 AND n.spot = p.spot // 3
+  LEFT JOIN subroots s ON s.below = p.tree
+  WHERE n.tree IS NOT NULL OR p.tree <> 'top'),
+roots AS (SELECT digest AS root, level AS height FROM tops WHERE held = 1)
+SELECT doc_id, leaf, s.digest AS subroot, root, sha256(told) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM paths p JOIN subroots s ON s.below = p.below, roots
+WHERE p.tree = 'top' AND p.level = height"""
+
 ORACLE: dict[str, str] = {
     "op1_merkle_audit": _AUDIT,
     "op6_license_scan": _LICENSES,
     "op10_source_mixing": _MIXING,
+    "op11_dataset_manifest": _MANIFEST,
 }

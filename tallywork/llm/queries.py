@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm import boosting, credentials, decontamination, licenses, merkle, mixing, resampling, simhash, toxicity, wrappers
+from tallywork.llm import (
+    alignment,
+    boosting,
+    bpe,
+    credentials,
+    decontamination,
+    licenses,
+    manifest,
+    merkle,
+    mixing,
+    resampling,
+    simhash,
+    toxicity,
+    wrappers,
+)
 from tallywork.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +115,48 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is; executors have it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering takes the line feeds out of texts whose id has an even crc32."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    fields = [F.coalesce(tampered, F.col("text")) if f == "text" else F.col(f) for f in MANIFEST_FIELDS]
+    docs = table(spark, sf_dir, "documents")
+    found = manifest.manifest(docs, MANIFEST_FIELDS, also={"tampered": manifest.leaf(fields)})
+    found = found.withColumn("folded_root", manifest.folded(F.col("tampered"), F.col("segments")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.digest(manifest.proof_text(F.col("segments"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned = alignment.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    sha = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    found = alignment.scored(aligned.withColumn("groups_sha256", sha).drop("groups"))
+    return found.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    told = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(told.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_merkle_audit": op1_merkle_audit,
     "op2_quality_rules": op2_quality_rules,
@@ -112,4 +168,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_source_mixing": op10_source_mixing,
+    "op11_dataset_manifest": op11_dataset_manifest,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_bpe_codec": op13_bpe_codec,
 }
