@@ -42,7 +42,7 @@ from tallywork.llm.memo import Memo
 #: Rows whose tokens are handed over at once.
 BATCH_ROWS = 256
 #: What a worker remembers of pieces, and of words, a generation.
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 128 << 20
 #: Marks the last character of a word: no byte stands for characters this high.
 _LAST = 0x1000
 _PIECE = re.compile(r"[^ \t\n\x0b\x0c\r]+")
@@ -78,7 +78,7 @@ class Codec:
         self._bytes = dict(enumerate(byte_characters()))
         self._merges(told["model"]["merges"])
         self._apart: dict[int, bool] = {}
-        self.words = Memo(self.word_ids, MEMO_BYTES)
+        self.words = Memo(self._word, MEMO_BYTES)
         self.pieces = Memo(self._piece, MEMO_BYTES)
 
     def _merges(self, merges: list) -> None:
@@ -158,21 +158,27 @@ class Codec:
         normal = self._normal.normalize_str(piece) if self._normal else piece
         return [w for w, _ in self._cut.pre_tokenize_str(normal)]
 
+    def _word(self, word: str) -> tuple[bytes, str]:
+        ids = self.word_ids(word)
+        return array("i", ids).tobytes(), self.decode(ids)
+
     def _piece(self, piece: str) -> tuple[bytes, str]:
-        out: list[int] = []
+        out = []
         for part in self._special.split(piece) if self._special else [piece]:
             if part in self.special:
-                out.append(self.special[part])
-                continue
-            for word in self._plain(part) if part else []:
-                out += self.words[word]
-        return array("i", out).tobytes(), self.decode(out)
+                out.append((array("i", [self.special[part]]).tobytes(), part))
+            elif part:
+                out += [self.words[word] for word in self._plain(part)]
+        return self._joint(out)
+
+    @staticmethod
+    def _joint(found: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        return b"".join([ids for ids, _ in found]), " ".join([shown for _, shown in found if shown])
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """The ids of a text as 32-bit integers, and the text they decode to."""
         known = self.pieces
-        found = [known[piece] for piece in _PIECE.findall(text)]
-        return b"".join([ids for ids, _ in found]), " ".join([shown for _, shown in found if shown])
+        return self._joint([known[piece] for piece in _PIECE.findall(text)])
 
     def decode(self, ids: list[int]) -> str:
         """Tokens with a blank between, as the file names no way to join them."""

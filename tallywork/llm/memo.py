@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Hashable
 from typing import Any
 
 #: What an entry takes beside its characters, about.
 ENTRY_BYTES = 300
+#: Objects a worker makes before the collector looks for cycles: memos hold
+#: hundreds of thousands of small objects, and none are in cycles.
+COLLECT_EVERY = 200_000
 
 
 class Memo(dict):
@@ -22,6 +26,7 @@ class Memo(dict):
         self, result: Callable[[Any], Any], most_bytes: int, most_key: int = 64, size: Callable[[Any], int] = len
     ) -> None:
         super().__init__()
+        gc.set_threshold(COLLECT_EVERY, *gc.get_threshold()[1:])
         self.result, self.most_bytes, self.most_key, self.size = result, most_bytes, most_key, size
         self.held, self.old = 0, {}
 
