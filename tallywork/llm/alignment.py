@@ -22,6 +22,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from tallywork.llm.memo import Memo
 
 BATCH_ROWS = 128
 #: What a worker remembers of tokenised pieces, and of windows, a generation.
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 128 << 20
 #: Pairs of ids whose counts are broadcast: 16 bytes each, and as much again for hashing.
 FREQUENT_PAIRS = 1 << 17
 #: Ids of B in the lower half of a pair.
@@ -72,7 +73,7 @@ class Pair:
         self.lengths = [np.array(n, np.int64) for n in self.sizes]
         self.spaced = [np.array([x[:1] == b" " for x in side]) for side in (self.a_bytes, self.b_bytes)]
         self.pieces = Memo(self._tokenised, MEMO_BYTES)
-        self.windows = Memo(self._aligned, MEMO_BYTES, 128, lambda w: len(w[0]) + len(w[1]))
+        self.windows = Memo(lambda windows: [*map(self._aligned, windows)], MEMO_BYTES, 128, lambda w: len(w[0]) + len(w[1]))
 
     def _piece_bytes(self, token: int) -> bytes:
         piece = self.b.id_to_piece(token)
@@ -80,25 +81,28 @@ class Pair:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace(_BLANK, " ").encode()
 
-    def _tokenised(self, piece: str) -> Window | tuple[bytes, None]:
-        """Ids of A and of B for a blank and the piece; None if one of them does not give its bytes."""
-        whole = " " + piece
-        a = self.a.encode(whole, add_special_tokens=False).ids
-        # B adds a blank of its own, but to nothing it adds nothing.
-        b = self.b.encode(piece) if piece else [self.b.piece_to_id(_BLANK)]
-        told = whole.encode()
-        a_gives = b"".join([self.a_bytes[n] for n in a]) == told
-        b_gives = b"".join([self.b_bytes[n] for n in b]) == told
-        return array("i", a).tobytes(), array("i", b).tobytes() if a_gives and b_gives else None
-
-    def tokens(self, text: str) -> Window:
-        """Ids of A and B for a blank and the text; none if either does not give its bytes."""
-        if not text:
-            return b"", b""
+    def _tokenised(self, pieces: list[str]) -> list[Window | tuple[bytes, None]]:
+        """Ids of A and of B for a blank and each piece; None if one of them does not give its bytes."""
+        wholes = [" " + p for p in pieces]
+        a_ids = [e.ids for e in self.a.encode_batch_fast(wholes, add_special_tokens=False)]
+        a_bytes, b_bytes, out = self.a_bytes, self.b_bytes, []
+        for whole, a, b in zip(wholes, a_ids, self.b.encode(pieces, num_threads=1)):
+            # B adds a blank of its own, but to nothing it adds nothing.
+            b = b if len(whole) > 1 else [self.b.piece_to_id(_BLANK)]
+            told = whole.encode()
+            exact = b"".join([a_bytes[n] for n in a]) == told == b"".join([b_bytes[n] for n in b])
+            out.append((array("i", a).tobytes(), array("i", b).tobytes() if exact else None))
+        return out
+
+    def tokens(self, texts: list[str]) -> Iterator[Window]:
+        """Per text: ids of A and B for a blank and it; none if either does not give its bytes."""
+        cut = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
         known = self.pieces
-        found = [known[p] for p in (_CUT.split(text) if self.cuts else [text])]
-        b = [b for _, b in found]
-        return (b"", b"") if None in b else (b"".join([a for a, _ in found]), b"".join(b))
+        known.learn(chain.from_iterable(cut))
+        for pieces in cut:
+            found = [known[p] for p in pieces]
+            b = [b for _, b in found]
+            yield (b"", b"") if None in b else (b"".join([a for a, _ in found]), b"".join(b))
 
     def _aligned(self, window: Window) -> tuple[str, bytes]:
         """Groups of a window as text, and its links as pairs of ids.
@@ -130,7 +134,7 @@ class Pair:
 
     def align(self, texts: list[str]) -> Iterator[tuple[int, int, str, bytes]]:
         """Per text: numbers of ids of A and of B, groups, links."""
-        found = [self.tokens(t) for t in texts]
+        found = list(self.tokens(texts))
         counts = [[len(f[side]) // 4 for f in found] for side in (0, 1)]
         ids = [b"".join([f[side] for f in found]) for side in (0, 1)]
         starts, spaced = [], []

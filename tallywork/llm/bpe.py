@@ -78,8 +78,8 @@ class Codec:
         self._bytes = dict(enumerate(byte_characters()))
         self._merges(told["model"]["merges"])
         self._apart: dict[int, bool] = {}
-        self.words = Memo(self._word, MEMO_BYTES)
-        self.pieces = Memo(self._piece, MEMO_BYTES)
+        self.words = Memo(lambda words: [*map(self._word, words)], MEMO_BYTES)
+        self.pieces = Memo(lambda pieces: [*map(self._piece, pieces)], MEMO_BYTES)
 
     def _merges(self, merges: list) -> None:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
