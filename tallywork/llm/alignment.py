@@ -70,10 +70,8 @@ class Pair:
         #: Pieces of B with a blank behind something else would reach across cuts.
         self.cuts = all(_BLANK not in p.lstrip(_BLANK) for p in pieces)
         self.sizes = [[len(x) for x in side] for side in (self.a_bytes, self.b_bytes)]
-        self.lengths = [np.array(n, np.int64) for n in self.sizes]
-        self.spaced = [np.array([x[:1] == b" " for x in side]) for side in (self.a_bytes, self.b_bytes)]
         self.pieces = Memo(self._tokenised, MEMO_BYTES)
-        self.windows = Memo(lambda windows: [*map(self._aligned, windows)], MEMO_BYTES, 128, lambda w: len(w[0]) + len(w[1]))
+        self.windows = Memo(lambda windows: [*map(self._aligned, windows)], MEMO_BYTES, 128, lambda w: (len(w[0]) + len(w[1])) // 4)
 
     def _piece_bytes(self, token: int) -> bytes:
         piece = self.b.id_to_piece(token)
@@ -81,7 +79,7 @@ class Pair:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace(_BLANK, " ").encode()
 
-    def _tokenised(self, pieces: list[str]) -> list[Window | tuple[bytes, None]]:
+    def _tokenised(self, pieces: list[str]) -> list[Window | None]:
         """Ids of A and of B for a blank and each piece; None if one of them does not give its bytes."""
         wholes = [" " + p for p in pieces]
         a_ids = [e.ids for e in self.a.encode_batch_fast(wholes, add_special_tokens=False)]
@@ -91,21 +89,24 @@ class Pair:
             b = b if len(whole) > 1 else [self.b.piece_to_id(_BLANK)]
             told = whole.encode()
             exact = b"".join([a_bytes[n] for n in a]) == told == b"".join([b_bytes[n] for n in b])
-            out.append((array("i", a).tobytes(), array("i", b).tobytes() if exact else None))
+            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if exact else None)
         return out
 
-    def tokens(self, texts: list[str]) -> Iterator[Window]:
-        """Per text: ids of A and B for a blank and it; none if either does not give its bytes."""
+    def windows_of(self, texts: list[str]) -> Iterator[list[Window]]:
+        """Per text: the ids of A and B for a blank and it, cut at anchors; none if either does not give its bytes.
+
+        Where both give the bytes of a piece, tokens on both sides end with it
+        and a token that begins with a blank comes next: its ends are anchors.
+        """
         cut = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
         known = self.pieces
         known.learn(chain.from_iterable(cut))
         for pieces in cut:
             found = [known[p] for p in pieces]
-            b = [b for _, b in found]
-            yield (b"", b"") if None in b else (b"".join([a for a, _ in found]), b"".join(b))
+            yield [] if None in found else found
 
-    def _aligned(self, window: Window) -> tuple[str, bytes]:
-        """Groups of a window as text, and its links as pairs of ids.
+    def _aligned(self, window: Window) -> tuple[str, bytes, int, int]:
+        """Groups of a window as text, its links as pairs of ids, and its numbers of ids.
 
         Every token has a byte at least, so one of each side ends at a shared end.
         """
@@ -128,38 +129,17 @@ class Pair:
                 else:
                     groups.append(f"{','.join(map(str, a[a_from:i + 1]))}|{','.join(map(str, b[b_from:j + 1]))}")
                 if i == last:
-                    return ";".join(groups), array("q", links).tobytes()
+                    return ";".join(groups), array("q", links).tobytes(), len(a), len(b)
                 a_from, b_from = i, j = i + 1, j + 1
                 a_end, b_end = a_end + a_length[a[i]], b_end + b_length[b[j]]
 
     def align(self, texts: list[str]) -> Iterator[tuple[int, int, str, bytes]]:
         """Per text: numbers of ids of A and of B, groups, links."""
-        found = list(self.tokens(texts))
-        counts = [[len(f[side]) // 4 for f in found] for side in (0, 1)]
-        ids = [b"".join([f[side] for f in found]) for side in (0, 1)]
-        starts, spaced = [], []
-        for side in (0, 1):
-            numbers = np.frombuffer(ids[side], "<i4")
-            length = self.lengths[side][numbers]
-            starts.append(np.cumsum(length) - length)
-            # Texts have the same bytes on both sides, so their first tokens are anchors as well.
-            first = np.cumsum([0, *counts[side][:-1]])[np.array(counts[side], int) > 0]
-            marked = self.spaced[side][numbers]
-            marked[first] = True
-            spaced.append(np.flatnonzero(marked))
-        # Blanks at which a token begins on either side: there all tokens before end on both.
-        a_at, b_at = (starts[side][spaced[side]] for side in (0, 1))
-        near = np.minimum(np.searchsorted(b_at, a_at), max(len(b_at) - 1, 0))
-        shared = np.flatnonzero(b_at[near] == a_at)
-        cuts = [(4 * np.append(cut, len(starts[side]))).tolist()
-                for side, cut in enumerate((spaced[0][shared], spaced[1][near[shared]]))]
-        parts = [[whole[i:k] for i, k in zip(cut, cut[1:])] for whole, cut in zip(ids, cuts)]
         known = self.windows
-        told = [known[w] for w in zip(*parts)]
-        groups, links = [g for g, _ in told], [x for _, x in told]
-        bounds = np.searchsorted(cuts[0], 4 * np.cumsum([0, *counts[0]])).tolist()
-        for n_a, n_b, i, k in zip(*counts, bounds, bounds[1:]):
-            yield n_a, n_b, ";".join(groups[i:k]), b"".join(links[i:k])
+        for windows in self.windows_of(texts):
+            told = [known[w] for w in windows]
+            yield (sum([a for _, _, a, _ in told]), sum([b for _, _, _, b in told]),
+                   ";".join([g for g, _, _, _ in told]), b"".join([x for _, x, _, _ in told]))
 
 
 @lru_cache(maxsize=1)
