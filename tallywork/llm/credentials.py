@@ -16,6 +16,9 @@ running sum gives the place of every match, so no text is shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +33,10 @@ ASSIGN_VALUE_LENGTH = 6
 
 _EDGE = r"A-Za-z0-9+/_=-"
 WEAK_ID = rf"(?<![{_EDGE}])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{{16,}}+(?![{_EDGE}])"
-_VARIED = r"(?=[^a-z\s]*[a-z])(?=[^A-Z\s]*[A-Z])(?=[^0-9\s]*[0-9])"
-WEAK_SECRET = rf"(?<![{_EDGE}]){_VARIED}[A-Za-z0-9+/_-]{{32,}}+={{0,2}}(?![{_EDGE}])"
+# Runs of key characters, each looked at once; what a run must hold is asked of
+# the run alone, so that a text without blanks takes time in proportion.
+WEAK_SECRET = rf"(?<![{_EDGE}])[A-Za-z0-9+/_-]{{32,}}+={{0,2}}(?![{_EDGE}])"
+WEAK_SECRET_HOLDS = ("[a-z]", "[A-Z]", "[0-9]")
 ENDPOINT = r"(?:https?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~-]+(?::[0-9]+)?"
 
 #: name, pattern, role, strong; in the order that breaks ties of place.
@@ -49,6 +54,10 @@ SCOPE = 200
 KEY = ["key_id", "key_text"]
 
 
+def _of(kinds: list[int]) -> Column:
+    return F.col("kind").isin(kinds)
+
+
 def _matches(number: int, pattern: str) -> Column:
     """Each match of one kind in ``whole`` with the length of the piece before it."""
     found = F.regexp_extract_all("whole", F.lit(pattern), F.lit(0))
@@ -70,7 +79,10 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = rows.select(*KEY, F.explode(F.concat(*listed)).alias("part")).select(*KEY, "part.*")
     rows = rows.where(F.col("found").isNotNull())
     value = F.length(F.regexp_extract("found", ASSIGN, 1))
-    holds = (F.col("kind") != 0) | (value >= ASSIGN_VALUE_LENGTH)
+    varied = reduce(and_, [F.col("found").rlike(c) for c in WEAK_SECRET_HOLDS])
+    names = [k[0] for k in KINDS]
+    holds = F.when(_of([names.index("assign")]), value >= ASSIGN_VALUE_LENGTH)
+    holds = holds.when(_of([names.index("key")]), varied).otherwise(True)
     rows = rows.select(*KEY, "kind", "place", "skipped", F.length("found").alias("length"), holds.alias("holds"))
     # Copies of a row count once.
     rows = rows.dropDuplicates([*KEY, "kind", "place"])
@@ -80,10 +92,6 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return placed.where("holds").select(*KEY, "kind", "start", "end")
 
 
-def _of(kinds: list[int]) -> Column:
-    return F.col("kind").isin(kinds)
-
-
 def credential_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per reported span: the row's key, ``kind`` (a number into ``KINDS``), ``start``, ``end``.
 
@@ -149,7 +157,10 @@ def redacted(
 
     Spans that overlap are replaced by one mark. If ``length`` names a column,
     it gets the code points of the new text. Texts without spans stay as they
-    are, null included.
+    are, null and empty ones included, and null ids are kept. Copies of a row,
+    and rows of one id with different texts, are each redacted by their own
+    spans; the other columns stay with their row, whatever their names. No rows
+    give no rows.
     """
     found = credential_spans(docs, doc_id, text)
     # Overlapping spans become one.

@@ -6,8 +6,9 @@ document and one more of those whose point lies below a threshold. The
 threshold is found by histograms: sizes are summed by source and by the
 leading bits of the point, running sums find the bucket in which the rest is
 used up, and only the documents of that bucket are looked at again with the
-next bits. Nothing is sorted but sums of buckets, and a larger budget always
-takes a superset of the documents of a smaller one.
+next bits. The last bucket is one point; its documents are taken if that lands
+nearer to the target than leaving them. Nothing is sorted but sums of buckets,
+and a larger budget always takes a superset of the documents of a smaller one.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
 
 
 def _thresholds(items: DataFrame, rests: DataFrame) -> DataFrame:
-    """``source``, ``threshold``: all points below it fit into ``rest``.
+    """``source``, ``threshold``: points below it come nearest to ``rest``.
 
     ``rests`` has one row per source. A level turns the bucket in which the
     budget runs out into its own buckets; after the last level a bucket is one
@@ -87,15 +88,18 @@ def _thresholds(items: DataFrame, rests: DataFrame) -> DataFrame:
         sums = seen.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
         up_to = Window.partitionBy("source").orderBy("bucket")
         sums = sums.select("source", "bucket", F.sum("held").over(up_to).alias("reached"), "held")
-        joined = null_safe_join(state.drop("lead"), sums, ["source"], "left")
+        joined = null_safe_join(state.select("source", "rest", "used"), sums, ["source"], "left")
         over = F.col("used") + F.col("reached") > F.col("rest")
+        before = (F.col("used") + F.col("reached") - F.col("held")).alias("used")
         state = joined.groupBy("source", "rest").agg(
-            F.min(F.when(over, F.struct("bucket", (F.col("used") + F.col("reached") - F.col("held")).alias("used")))).alias("edge"),
+            F.min(F.when(over, F.struct("bucket", before, "held"))).alias("edge"),
         ).select(
-            "source", "rest", F.col("edge.used").alias("used"), F.col("edge.bucket").alias("lead")
+            "source", "rest", F.col("edge.used").alias("used"), F.col("edge.bucket").alias("lead"),
+            F.col("edge.held").alias("held"),
         )
         state = written(state, f"mix_level{level}")
-    return state.select("source", F.col("lead").alias("threshold"))
+    nearer = F.col("used") + F.col("held") - F.col("rest") < F.col("rest") - F.col("used")
+    return state.select("source", (F.col("lead") + nearer.cast("bigint")).alias("threshold"))
 
 
 def _items(rows: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
@@ -136,7 +140,9 @@ def mix(
     """One row per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``copies``.
 
     ``copies`` is how often the mix holds the document, ``taken`` is that many
-    times its size.
+    times its size. What a source's documents have taken differs from its
+    target by at most half the words of one point: a document, or all rows of
+    the source that are equal in id and text.
 
     Null texts have size 0. Null is a source of its own, the last one. A null
     id counts as an empty string for the hash. Rows equal in id and text share

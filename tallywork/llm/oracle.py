@@ -8,7 +8,8 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 # Excess is shared out again until no target is above its limit, which a
 # recursive query does round by round. A document gets one more copy if the
-# sizes up to its point still fit into what whole copies leave of the target.
+# sizes up to its point still fit into what whole copies leave of the target,
+# or if the sum with its point is nearer to that than the sum without.
 _MIXING = f"""
 WITH RECURSIVE items AS (
   SELECT doc_id, source, CAST({_WORDS} AS BIGINT) AS size,
@@ -37,13 +38,14 @@ targets AS (
          CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole
   FROM rounds WHERE round = (SELECT max(round) FROM rounds)),
 placed AS (
-  SELECT doc_id, size, source_size, target, whole,
+  SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS rest,
          sum(size) OVER (PARTITION BY i.source ORDER BY point
-                         RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached
+                         RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached,
+         sum(size) OVER (PARTITION BY i.source, point) AS held
   FROM items i JOIN targets t ON i.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, round(target, 6) AS target,
-       CAST(size * (whole + CASE WHEN target - whole * source_size > 0
-                              AND reached <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+       CAST(size * (whole + CASE WHEN rest > 0 AND (reached <= rest OR reached - rest < rest - (reached - held))
+                                 THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed"""
 
 # Record by record, without a tree.

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 from tallywork.llm import credentials
@@ -77,3 +78,21 @@ def test_bare_parts_may_be_of_any_length(spark):
     long_key, long_id = KEY + "aB3/" * 13 + "==", ID * 4
     got = spans(spark, f"https://h.example.com/ {long_key}", f"{long_id} {KEY}", f"{long_key}=")
     assert got == [f"endpoint:0:21,key:23:{23 + len(long_key)}", "id:0:64,key:65:101", ""]
+
+
+def test_texts_without_blanks_take_time_in_proportion(spark):
+    numbers = ",".join(map(str, range(160_000)))
+    minified = ",".join(f'{{"id":{i},"name":"n{i}","on":true}}' for i in range(30_000))
+    assert len(numbers) > 1_000_000 and len(minified) > 1_000_000
+    spans(spark, "warm")
+    begin = time.perf_counter()
+    got = spans(spark, numbers, minified, f"{minified},{KEY};{ID}")
+    assert time.perf_counter() - begin < 20
+    at = len(minified) + 1
+    assert got == ["", "", f"key:{at}:{at + 36},id:{at + 37}:{at + 53}"]
+
+
+def test_the_run_itself_holds_all_three_classes(spark):
+    lower = KEY.lower()
+    assert spans(spark, f"{lower}:ABC {ID}", f"{lower}A {ID}", f"{'-' * 40} {ID} {KEY.upper()}") == [
+        "", f"key:0:37,id:38:54", ""]
