@@ -20,7 +20,10 @@ import html
 import json
 import re
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,16 +59,20 @@ ARTICLE_NAMES = frozenset("article articlebody content entry post story".split()
 
 #: Different pages a text must be the same on to be fixed.
 FIXED_ON = 3
-#: A region beside the one with the longest element holds this share of it at least.
+#: A region of several elements a page beside the one with the longest element holds this share of it at least.
 BESIDE = 0.25
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text may be the same on many pages and yet belong to the article.
+LABELS = HEADINGS | frozenset("dt dd th td li caption figcaption summary".split())
+#: A class or id names elements of a host if this share of its pages has it.
+COMMON = 0.01
 
-_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(?=[A-Za-z/])[^<>]*\Z""",
-    re.S,
-)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_START = re.compile(r"<(?=[A-Za-z/!?])")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_UNQUOTED = re.compile(r"""[^>"']*""")
+_RAW_END = {name: re.compile(rf"</{name}\b", re.I) for name in RAW}
+_ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MARKS = {"class": ".", "id": "#", "role": "@", "itemprop": "!"}
 
 
 class Node:
@@ -83,65 +90,185 @@ class Node:
         self.count = 1
 
     def as_list(self) -> list:
-        return [self.name, int(self.repeats), int(self.optional), self.pages, self.chars, self.link_chars, self.seen, self.contents, self.count, [k.as_list() for k in self.kids]]
+        """All nodes, parents before their children, each with its number of children."""
+        return [
+            [n.name, int(n.repeats), int(n.optional), n.pages, n.chars, n.link_chars, n.seen, n.contents, n.count, len(n.kids)]
+            for n in in_order(self)
+        ]
 
     @staticmethod
-    def from_list(row: list) -> Node:
-        node = Node(row[0])
-        node.repeats, node.optional = bool(row[1]), bool(row[2])
-        node.pages, node.chars, node.link_chars, node.seen, node.contents, node.count = row[3:9]
-        node.kids = [Node.from_list(k) for k in row[9]]
-        return node
+    def from_list(rows: list) -> Node:
+        def made(row: list) -> Node:
+            node = Node(row[0])
+            node.repeats, node.optional = bool(row[1]), bool(row[2])
+            node.pages, node.chars, node.link_chars, node.seen, node.contents, node.count = row[3:9]
+            return node
+
+        return _rebuilt(rows, made, lambda node: node.kids)
+
+
+def _rebuilt(rows: list, made, kids_of):  # noqa: ANN001, ANN202
+    """The tree of rows in order, each of which ends with its number of children."""
+    root = made(rows[0])
+    waiting = [(kids_of(root), rows[0][-1])]
+    for row in rows[1:]:
+        while not waiting[-1][1]:
+            waiting.pop()
+        kids, left = waiting[-1]
+        waiting[-1] = (kids, left - 1)
+        kids.append(made(row))
+        waiting.append((kids_of(kids[-1]), row[-1]))
+    return root
+
+
+def in_order(root: Node) -> Iterator[Node]:
+    """All nodes, parents before their children. Pages may be nested deeper than calls can be."""
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        waiting.extend(reversed(node.kids))
+
+
+@lru_cache(maxsize=1 << 14)
+def tokens_of(attributes: str) -> tuple[str, ...]:
+    """What attributes say of an element's purpose: classes, ids, roles, properties, numbers left out."""
+    said = set()
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        for token in (a or b or c).lower().split():
+            said.add(_MARKS[key.lower()] + re.sub(r"\d+", "0", re.sub(r"[.#@!/]", "_", token)))
+    return tuple(sorted(said))
 
 
-def _named(tag: str, attributes: str) -> str:
-    """The tag with what its attributes say of its purpose, numbers left out."""
-    said = []
-    for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        mark = {"class": ".", "id": "#", "role": "@", "itemprop": "!"}[key.lower()]
-        said.append(mark + re.sub(r"\d+", "0", " ".join((a or b or c).lower().split())))
-    return tag + "".join(sorted(said))
+@lru_cache(maxsize=1 << 14)
+def _purpose_tokens(token: str) -> tuple[str, ...]:
+    """What is left of a token that is not common on its host: the words that decide."""
+    if token[0] == "@":
+        return (token,) if token[1:] in ASIDE_ROLES or token in ("@article", "@main") else ()
+    words = set(re.split(r"[^a-z]+", token[1:]))
+    found = {w for w in words if w in ARTICLE_NAMES}
+    if token[0] in ".#":
+        found |= _purposes(token[1:]) & ASIDE_NAMES
+    return tuple(token[0] + w for w in found)
+
 
+def _named(tag: str, attributes: str, known: frozenset | None) -> str:
+    said = tokens_of(attributes)
+    if known is not None and any(t not in known for t in said):
+        said = sorted({u for t in said for u in ((t,) if t in known else _purpose_tokens(t))})
+    return tag + "".join(said)
+
+
+class _Scanner:
+    """The tags of a page, one after the other, each place of it read once.
+
+    A tag ends at the first ``>`` outside of quotes. A quote that is not closed
+    is a character like others. If quotes hide all that could end a tag, they
+    do not count for the rest of the page. Without any ``>`` behind it, a ``<``
+    is text, or if nothing but an unfinished tag follows, that is passed over.
+    """
 
-def parse(page: str | None) -> Node:
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+        self.quotes = True
+
+    def _end(self, at: int) -> int:
+        """The place of the ``>`` that ends the tag whose name ends here."""
+        page, place = self.page, at
+        while self.quotes:
+            place = _UNQUOTED.match(page, place).end()
+            if place == len(page):
+                self.quotes = False
+            elif page[place] == ">":
+                return place
+            else:
+                closed = place < self.last[page[place]]
+                place = page.index(page[place], place + 1) + 1 if closed else place + 1
+        return page.index(">", at)
+
+    def tags(self) -> Iterator[tuple[int, int, str, str, str]]:
+        """Where each tag starts and ends, the stroke of an end tag, its name, its attributes.
+
+        Comments and declarations have no name. ``skip`` leads past the content
+        of a raw element.
+        """
+        page, self.at = self.page, 0
+        while m := _START.search(page, self.at):
+            start = m.start()
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                self.at = len(page) if end < 0 else end + 3
+                yield start, self.at, "", "", ""
+            elif page[start + 1] in "!?":
+                end = page.find(">", start)
+                self.at = len(page) if end < 0 else end + 1
+                yield start, self.at, "", "", ""
+            elif start > self.last[">"]:
+                if start < self.last["<"]:
+                    self.at = self.last["<"]
+                    continue
+                yield start, len(page), "", "", ""
+                return
+            elif tag := _TAG.match(page, start):
+                end = self._end(tag.end())
+                self.at = end + 1
+                yield start, self.at, tag[1], tag[2].lower(), page[tag.end() : end]
+            else:
+                self.at = start + 1
+
+    def skip(self, name: str) -> None:
+        found = _RAW_END[name].search(self.page, self.at)
+        end = self.page.find(">", found.end()) if found else -1
+        self.at = len(self.page) if end < 0 else end + 1
+
+
+def parse(page: str | None, known: frozenset | None = None) -> Node:
     """The elements and texts of a page; inline tags are part of the text.
 
     Whatever is left open ends with its parent, and end tags without a start
-    are passed over.
+    are passed over. Of classes and ids that are not ``known`` only the words
+    that say what an element is for are kept.
     """
     page, root = page or "", Node("")
-    open_nodes, links, at = [root], 0, 0
+    open_nodes: list[tuple[str, Node]] = [("", root)]
+    n_open: dict[str, int] = {}
+    pieces: dict[int, list[str]] = {}
+    texts: list[Node] = []
+    links = at = 0
 
     def add(piece: str) -> None:
         if piece:
-            kids = open_nodes[-1].kids
+            kids = open_nodes[-1][1].kids
             if not kids or kids[-1].name != "#":
                 kids.append(Node("#"))
-            kids[-1].text += piece
+                texts.append(kids[-1])
+            pieces.setdefault(id(kids[-1]), []).append(piece)
             kids[-1].links += len(piece) if links else 0
 
     def end(names: tuple, stops=frozenset()) -> None:
+        if not any(n_open.get(n) for n in names):
+            return
         for depth in range(len(open_nodes) - 1, 0, -1):
-            tag = re.split(r"[.#@!]", open_nodes[depth].name, maxsplit=1)[0]
+            tag = open_nodes[depth][0]
             if tag in names:
+                for closed, _ in open_nodes[depth:]:
+                    n_open[closed] -= 1
                 del open_nodes[depth:]
                 return
             if tag in stops:
                 return
 
-    while True:
-        m = _TOKEN.search(page, at)
-        add(html.unescape(page[at : m.start()] if m else page[at:]))
-        if not m:
-            return root
-        at = m.end()
-        if not m[2]:
+    scanner = _Scanner(page)
+    for start, after, closing, tag, attributes in scanner.tags():
+        add(html.unescape(page[at:start]))
+        at = after
+        if not tag:
             continue
-        closing, tag = bool(m[1]), m[2].lower()
         if tag in INLINE:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
-            elif tag in ("br", "wbr") and tag == "br":
+            elif tag == "br":
                 add(" ")
             continue
         links = 0
@@ -149,16 +276,21 @@ def parse(page: str | None) -> Node:
             end((tag,))
             continue
         if tag in RAW:
-            done = _RAW_END[tag].search(page, at)
-            at = done.end() if done else len(page)
+            scanner.skip(tag)
+            at = scanner.at
             continue
         end(("p",), STOPS)
         if tag in ENDS:
             end(ENDS[tag], STOPS - {"div", "section"})
-        node = Node(_named(tag, m[3]))
-        open_nodes[-1].kids.append(node)
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
-            open_nodes.append(node)
+        node = Node(_named(tag, attributes, known))
+        open_nodes[-1][1].kids.append(node)
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            open_nodes.append((tag, node))
+            n_open[tag] = n_open.get(tag, 0) + 1
+    add(html.unescape(page[at:]))
+    for node in texts:
+        node.text = "".join(pieces[id(node)])
+    return root
 
 
 def _mark(words: str) -> int:
@@ -168,17 +300,15 @@ def _mark(words: str) -> int:
 def _content(page: Node) -> int:
     """A mark of what a page says outside of asides and links: the same for copies."""
     said: list[str] = []
-
-    def walk(node: Node) -> None:
+    waiting = [page]
+    while waiting:
+        node = waiting.pop()
         if node.name == "#":
             words = " ".join(node.text.split())
             if words and not _mostly_links(node, words):
                 said.append(words)
         elif not is_aside(node.name):
-            for kid in node.kids:
-                walk(kid)
-
-    walk(page)
+            waiting.extend(reversed(node.kids))
     return _mark("\n".join(said))
 
 
@@ -190,45 +320,78 @@ def _is_blank(node: Node) -> bool:
     return node.name == "#" and node.text.isspace()
 
 
-def fold(node: Node, content: int | None = None) -> Node:
+def fold(page: Node) -> Node:
     """The pattern of one page: texts become slots, repeated siblings one group."""
-    content = _content(node) if content is None else content
-    out = Node(node.name)
-    if node.name == "#":
-        words = " ".join(node.text.split())
-        out.chars, out.link_chars = len(words), min(node.links, len(words))
-        out.seen, out.contents = _mark(words), [content]
-        return out
-    kids = [fold(k, content) for k in node.kids if not _is_blank(k)]
-    for period in (1, 2):
-        kids = _squares(kids, period)
-    out.kids = kids
-    return out
+    content = _content(page)
+    folded: dict[int, Node] = {}
+    for node in reversed(list(in_order(page))):
+        out = folded[id(node)] = Node(node.name)
+        if node.name == "#":
+            words = " ".join(node.text.split())
+            out.chars, out.link_chars = len(words), min(node.links, len(words))
+            out.seen, out.contents = _mark(words), [content]
+            continue
+        for _, ones in groups_of(node.kids):
+            kid = folded[id(ones[0])]
+            for other in ones[1:]:
+                kid = merge(kid, folded[id(other)], same_page=True)
+                kid.repeats = True
+            out.kids.append(kid)
+    return folded[id(page)]
 
 
-def _squares(kids: list[Node], period: int) -> list[Node]:
-    """Merges runs that repeat after ``period`` siblings."""
-    out: list[Node] = []
-    i = 0
-    while i < len(kids):
-        names = [k.name for k in kids[i : i + period]]
-        j = i + period
-        while len(names) == period and [k.name for k in kids[j : j + period]] == names:
-            for k in range(period):
-                kids[i + k] = merge(kids[i + k], kids[j + k], same_page=True)
-                kids[i + k].repeats = True
-            j += period
-        if j > i + period:
-            out += kids[i : i + period]
-            i = j
-        else:
-            out.append(kids[i])
+def groups_of(kids: list[Node]) -> list[tuple[str, list[Node]]]:
+    """Siblings without blanks, those that stand for one another in repeats put together.
+
+    A repeat is a sequence of names of any length that follows itself; short
+    ones first, and again until none is left. Equal sequences are told by the
+    difference of running hashes.
+    """
+    groups = [(k.name, [k]) for k in kids if not _is_blank(k)]
+    while True:
+        folded = _squares(_squares(groups, only=1))
+        if len(folded) == len(groups):
+            return groups
+        groups = folded
+
+
+def _squares(groups: list[tuple[str, list[Node]]], only: int = 0) -> list[tuple[str, list[Node]]]:
+    n = len(groups)
+    if n < 2:
+        return groups
+    prime, base = (1 << 61) - 1, 1_000_003
+    sums, powers = [0], [1]
+    for name, _ in groups:
+        sums.append((sums[-1] * base + zlib.crc32(name.encode("utf-8", "surrogatepass")) + 1) % prime)
+        powers.append(powers[-1] * base % prime)
+    following, place_of = [0] * n, {}
+    for i in range(n - 1, -1, -1):
+        following[i] = place_of.get(groups[i][0], n) - i
+        place_of[groups[i][0]] = i
+
+    def told(i: int, length: int) -> int:
+        return (sums[i + length] - sums[i] * powers[length]) % prime
+
+    out, i = [], 0
+    while i < n:
+        length = following[i]
+        j = i + length
+        if (only and length != only) or j + length > n or told(i, length) != told(j, length):
+            out.append(groups[i])
             i += 1
+            continue
+        repeat = [(name, list(ones)) for name, ones in groups[i:j]]
+        while j + length <= n and told(i, length) == told(j, length):
+            for (_, ones), (_, more) in zip(repeat, groups[j : j + length]):
+                ones.extend(more)
+            j += length
+        out += repeat
+        i = j
     return out
 
 
-def merge(a: Node, b: Node, same_page: bool = False) -> Node:
-    """The pattern that fits whatever either fits; both have the same name."""
+def _joint(a: Node, b: Node, same_page: bool) -> Node:
+    """What fits either of two nodes of one name, without their children."""
     out = Node(a.name)
     out.repeats, out.optional = a.repeats or b.repeats, a.optional or b.optional
     out.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
@@ -237,60 +400,88 @@ def merge(a: Node, b: Node, same_page: bool = False) -> Node:
     out.seen = a.seen if a.seen == b.seen else 0
     out.count = a.count + b.count
     out.contents = sorted({*a.contents, *b.contents})[:FIXED_ON]
-    out.kids = _aligned(a.kids, b.kids, same_page)
     return out
 
 
-def _aligned(left: list[Node], right: list[Node], same_page: bool) -> list[Node]:
+def merge(a: Node, b: Node, same_page: bool = False) -> Node:
+    """The pattern that fits whatever either fits; both have the same name."""
+    whole = _joint(a, b, same_page)
+    waiting = [(a.kids, b.kids, whole)]
+    while waiting:
+        left, right, out = waiting.pop()
+        for one, other in _pairs(left, right):
+            if one is None or other is None:
+                kid = one or other
+                kid.optional = True
+            else:
+                kid = _joint(one, other, same_page)
+                waiting.append((one.kids, other.kids, kid))
+            out.kids.append(kid)
+    return whole
+
+
+def _pairs(left: list[Node], right: list[Node]) -> list[tuple[Node | None, Node | None]]:
     """Siblings of both, matched in order of a longest common subsequence of names."""
+    # What both begin and end with is matched as it stands.
+    n, m = len(left), len(right)
+    head = 0
+    while head < min(n, m) and left[head].name == right[head].name:
+        head += 1
+    tail = 0
+    while tail < min(n, m) - head and left[n - 1 - tail].name == right[m - 1 - tail].name:
+        tail += 1
+    out = list(zip(left[:head], right[:head]))
+    ends = list(zip(left[n - tail :], right[m - tail :]))
+    left, right = left[head : n - tail], right[head : m - tail]
     n, m = len(left), len(right)
-    if [k.name for k in left] == [k.name for k in right]:
-        return [merge(a, b, same_page) for a, b in zip(left, right)]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if left[i].name == right[j].name else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+    i = j = 0
     while i < n or j < m:
         if i < n and j < m and left[i].name == right[j].name:
-            out.append(merge(left[i], right[j], same_page))
+            out.append((left[i], right[j]))
             i, j = i + 1, j + 1
-            continue
-        if j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            node, i = left[i], i + 1
+        elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
+            out.append((left[i], None))
+            i += 1
         else:
-            node, j = right[j], j + 1
-        node.optional = True
-        out.append(node)
-    return out
+            out.append((None, right[j]))
+            j += 1
+    return out + ends
 
 
 def _purposes(said: str) -> set[str]:
-    """What the classes or ids of an element name: each whole, and its last part.
+    """What a class or id of an element names: it as a whole, and its last part.
 
     Of "sidebar-left" the last part is "sidebar", as "left" only says where.
     """
     out = set()
-    for token in said.split():
-        parts = [part for part in re.split(r"[^a-z]+", token) if part]
-        if not parts or (len(parts) > 1 and parts[0] in STATES):
-            continue
+    parts = [part for part in re.split(r"[^a-z]+", said) if part]
+    if not parts or (len(parts) > 1 and parts[0] in STATES):
+        return out
+    out.add(parts[-1])
+    while len(parts) > 1 and parts[-1] in PLACES:
+        parts.pop()
         out.add(parts[-1])
-        while len(parts) > 1 and parts[-1] in PLACES:
-            parts.pop()
-            out.add(parts[-1])
     return out
 
 
-def _aside_names(name: str) -> set[str]:
+def _tag_of(name: str) -> str:
+    return re.split(r"[.#@!]", name, maxsplit=1)[0]
+
+
+@lru_cache(maxsize=1 << 14)
+def _aside_names(name: str) -> frozenset[str]:
     """The names that make an element an aside; the tag counts as one."""
     parts = re.split(r"([.#@!])", name)
     if parts[0] in WHOLE_TAGS:
-        return set()
+        return frozenset()
     found = {parts[0]} & ASIDE_TAGS
     for mark, said in zip(parts[1::2], parts[2::2]):
-        found |= _purposes(said) & (ASIDE_NAMES if mark in ".#" else ASIDE_ROLES if mark == "@" else set())
-    return found
+        found |= _purposes(said) & ASIDE_NAMES if mark in ".#" else {said} & ASIDE_ROLES if mark == "@" else set()
+    return frozenset(found)
 
 
 def is_aside(name: str) -> bool:
@@ -298,39 +489,7 @@ def is_aside(name: str) -> bool:
     return bool(_aside_names(name))
 
 
-def spared(pattern: Node) -> list[str]:
-    """Paths of elements that are asides by name but hold most of the text outside links.
-
-    A menu, header or form that holds more than half of it is what the page is
-    wrapped in. Readers' texts are not spared while an element outside of
-    asides holds an article.
-    """
-    asides: list[tuple] = []
-    article = False
-
-    def walk(node: Node, path: str, inside: bool) -> int:
-        nonlocal article
-        path = f"{path}/{node.name}"
-        if node.name == "#":
-            return node.chars - node.link_chars
-        names = _aside_names(node.name)
-        inside = inside or bool(names)
-        held = sum(walk(k, path, inside) for k in node.kids)
-        article = article or bool(not inside and held and _rank(node.name))
-        if names:
-            asides.append((path, held, names))
-        return held
-
-    total = walk(pattern, "", False)
-    by_path: dict[str, int] = {}
-    readers = set()
-    for path, held, names in asides:
-        by_path[path] = by_path.get(path, 0) + held
-        if names <= READER_NAMES:
-            readers.add(path)
-    return sorted(p for p, held in by_path.items() if 2 * held > total and not (article and p in readers))
-
-
+@lru_cache(maxsize=1 << 14)
 def _rank(name: str) -> int:
     """How surely an element is the article: 3 by tag, 2 main part, 1 by name, 0 not."""
     parts = re.split(r"([.#@!])", name)
@@ -342,6 +501,66 @@ def _rank(name: str) -> int:
     return int(bool(said & ARTICLE_NAMES))
 
 
+class _Paths:
+    """Numbers for paths of names from the root, so that a deep path takes one step more than its parent's."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.steps: list[tuple[int, str]] = [(-1, "")]
+
+    def below(self, parent: int, name: str) -> int:
+        number = self.numbers.get((parent, name))
+        if number is None:
+            number = self.numbers[parent, name] = len(self.steps)
+            self.steps.append((parent, name))
+        return number
+
+    def names(self, number: int) -> list[str]:
+        out = []
+        while number > 0:
+            number, name = self.steps[number]
+            out.append(name)
+        return out[::-1]
+
+
+def _located(pattern: Node) -> tuple[_Paths, list[tuple[Node, int, int]]]:
+    """All nodes in order, each with the number of its path and its parent's place in the list."""
+    paths, out = _Paths(), []
+    waiting = [(pattern, 0, -1)]
+    while waiting:
+        node, path, parent = waiting.pop()
+        out.append((node, path, parent))
+        waiting.extend([(k, paths.below(path, k.name), len(out) - 1) for k in reversed(node.kids)])
+    return paths, out
+
+
+def _spared(nodes: list[tuple[Node, int, int]]) -> set[int]:
+    """Paths of elements that are asides by name but hold most of the text outside links.
+
+    A menu, header or form that holds more than half of it is what the page is
+    wrapped in. Readers' texts are not spared while an element outside of
+    asides holds an article.
+    """
+    inside, held = [], []
+    for node, _, parent in nodes:
+        inside.append(is_aside(node.name) or (parent >= 0 and inside[parent]))
+        held.append(node.chars - node.link_chars if node.name == "#" else 0)
+    article = False
+    by_path: dict[int, int] = {}
+    readers = set()
+    for place in range(len(nodes) - 1, -1, -1):
+        node, path, parent = nodes[place]
+        if parent >= 0:
+            held[parent] += held[place]
+        article = article or bool(not inside[place] and held[place] and node.name != "#" and _rank(node.name))
+        names = _aside_names(node.name)
+        if names:
+            by_path[path] = by_path.get(path, 0) + held[place]
+            if names <= READER_NAMES:
+                readers.add(path)
+    return {p for p, chars in by_path.items() if 2 * chars > held[0] and not (article and p in readers)}
+
+
 def _fixed(slot: Node) -> int:
     """The mark of a slot's text if it is the same on enough different pages, or 0."""
     return slot.seen if len(slot.contents) >= FIXED_ON else 0
@@ -360,165 +579,255 @@ class _Region:
         return self.varies / self.count
 
 
-def _regions(pattern: Node, spare: list[str]) -> list[str]:
+def _regions(paths: _Paths, nodes: list[tuple[Node, int, int]], spare: set[int]) -> list[int]:
     """Paths of the elements that hold the article, the leading one first; none for the whole page.
 
     What varies from page to page and is no link decides. An element counts in
     place of what stands in it, unless a surer name in it holds all the same
     text. The leading path has the longest element, so that a group of many
-    short ones does not hide a long one; others count beside it from a share
-    of ``BESIDE`` on, taken over the page. Paths that miss half of what varies
-    on the host are not where its article stands.
+    short ones does not hide a long one. Beside it count all others whose text
+    varies; a group of several on a page, which may be teasers, from a share of
+    ``BESIDE`` on. Paths that miss half of what varies on the host are not
+    where its article stands.
     """
-    found: dict[str, _Region] = {}
-
-    def walk(node: Node, path: str) -> tuple[int, int, dict[str, tuple[int, int]]]:
-        path = f"{path}/{node.name}"
-        if is_aside(node.name) and path not in spare:
-            return 0, 0, {}
+    found: dict[int, _Region] = {}
+    gone = []
+    for node, path, parent in nodes:
+        gone.append((parent >= 0 and gone[parent]) or (is_aside(node.name) and path not in spare))
+    varies, chars = [0] * len(nodes), [0] * len(nodes)
+    inner: list[dict[int, tuple[int, int]]] = [{} for _ in nodes]
+    for place in range(len(nodes) - 1, -1, -1):
+        node, path, parent = nodes[place]
+        if gone[place]:
+            continue
         if node.name == "#":
-            return 0 if _fixed(node) else node.chars - node.link_chars, node.chars, {}
-        below = [walk(k, path) for k in node.kids]
-        varies, chars = sum(v for v, _, _ in below), sum(c for _, c, _ in below)
-        inner: dict[str, tuple[int, int]] = {}
-        for _, _, paths in below:
-            for p, (v, c) in paths.items():
-                inner[p] = (inner.get(p, (0, 0))[0] + v, inner.get(p, (0, 0))[1] + c)
-        rank = _rank(node.name)
-        if not rank or not chars or node.name.startswith(("html", "body")):
-            return varies, chars, inner
-        one = found.setdefault(path, _Region())
-        one.varies, one.chars = one.varies + varies, one.chars + chars
-        one.count, one.pages = one.count + node.count, max(one.pages, node.pages)
-        if len(inner) == 1:
-            (only, held), = inner.items()
-            if _rank(only.rsplit("/", 1)[1]) > rank and (held[0] == varies > 0 or held[1] == chars):
-                return varies, chars, inner
-        return varies, chars, {path: (varies, chars)}
-
-    total, _, paths = walk(pattern, "")
-    paths = {p for p in paths if not any(p.startswith(f"{q}/") for q in paths)}
-    rank = {p: _rank(p.rsplit("/", 1)[1]) for p in paths}
-    order = sorted(paths, key=lambda p: (found[p].each(), rank[p], found[p].chars, p), reverse=True)
+            varies[place], chars[place] = 0 if _fixed(node) else node.chars - node.link_chars, node.chars
+        rank = _rank(node.name) if node.name != "#" else 0
+        if rank and chars[place] and _tag_of(node.name) not in ("html", "body"):
+            one = found.setdefault(path, _Region())
+            one.varies, one.chars = one.varies + varies[place], one.chars + chars[place]
+            one.count, one.pages = one.count + node.count, max(one.pages, node.pages)
+            surer = False
+            if len(inner[place]) == 1:
+                (only, held), = inner[place].items()
+                surer = _rank(paths.steps[only][1]) > rank and (held[0] == varies[place] > 0 or held[1] == chars[place])
+            if not surer:
+                inner[place] = {path: (varies[place], chars[place])}
+        if parent >= 0:
+            varies[parent] += varies[place]
+            chars[parent] += chars[place]
+            if not inner[parent]:
+                inner[parent] = inner[place]
+            elif inner[place]:
+                both = dict(inner[parent])
+                for p, (v, c) in inner[place].items():
+                    both[p] = (both.get(p, (0, 0))[0] + v, both.get(p, (0, 0))[1] + c)
+                inner[parent] = both
+            inner[place] = {}
+    kept = set(inner[0])
+    for path in inner[0]:
+        above = paths.steps[path][0]
+        while above > 0 and above not in kept:
+            above = paths.steps[above][0]
+        if above > 0:
+            kept.discard(path)
+    ranked = [(found[p].each(), _rank(paths.steps[p][1]), found[p].chars, paths.names(p), p) for p in kept]
+    order = [entry[-1] for entry in sorted(ranked, reverse=True)]
     if not order:
         return []
     least = BESIDE * found[order[0]].each()
-    order = [p for p in order if p == order[0] or found[p].varies and found[p].per_page() >= least]
-    return order if 2 * sum(found[p].varies for p in order) >= total else []
+    order = [p for p in order if p == order[0] or found[p].varies
+             and (found[p].count <= found[p].pages or found[p].per_page() >= least)]
+    return order if 2 * sum(found[p].varies for p in order) >= varies[0] else []
 
 
 def plan(pattern: Node) -> dict:
     """Where the article stands in pages of this pattern.
 
-    ``region`` is the path of the elements that hold it and ``beside`` those
-    of others that count as well; without any, the whole page is the region.
-    ``drop`` has slots to leave out, in their places in the pattern: those
-    always the same over three different pages or more; those mostly links,
-    which in a named region must be repeated, on three different pages, and no
-    headings. ``spare`` lists elements that are not asides in spite of their
-    names.
+    ``regions`` are the paths of the elements that hold it, the leading one
+    first; without any, the whole page is the region. ``spare`` lists elements
+    that are not asides in spite of their names. ``drop`` has slots to leave
+    out, in their places in the pattern, each with its name, whether links go
+    there, the mark of a text that goes, and its number of children.
     """
-    spare = spared(pattern)
-    region, *beside = _regions(pattern, spare) or ["/"]
-    drop = _dropped(pattern, "", {region, *beside}, region == "/", False)
-    return {"region": region, "beside": beside, "drop": drop if drop[3] else None, "spare": spare}
-
+    paths, nodes = _located(pattern)
+    spare = _spared(nodes)
+    regions = _regions(paths, nodes, spare)
+    return {
+        "regions": [paths.names(p) for p in regions], "spare": [paths.names(p) for p in sorted(spare)],
+        "drop": _dropped(nodes, set(regions)),
+    }
+
+
+def _dropped(nodes: list[tuple[Node, int, int]], regions: set[int]) -> list | None:
+    """Slots to leave out, by what varies around them.
+
+    If the page is the region, slots that are mostly links go, and those always
+    the same on different pages. Inside a named region, text that varies shows
+    where the article begins and ends. Repeated links go that stand before or
+    behind all of it, on different pages; links within it stay. A text always
+    the same goes, unless it is a heading or label with article text to come.
+    """
+    whole = not regions
+    state: list[tuple[bool, bool, bool, bool]] = []
+    for node, path, parent in nodes:
+        inside, listed, heading, label = state[parent] if parent >= 0 else (whole, whole, False, False)
+        tag = _tag_of(node.name)
+        heading, label = heading or tag in HEADINGS, label or (inside and tag in LABELS)
+        listed = listed or (inside and node.repeats)
+        state.append((inside or path in regions, listed, heading, label))
+    links, fixed = [0] * len(nodes), [0] * len(nodes)
+    article = []
+    for place, (node, _, _) in enumerate(nodes):
+        inside, _, heading, _ = state[place]
+        if node.name == "#" and inside and not heading and 2 * node.link_chars <= node.chars and not _fixed(node):
+            article.append(place)
+    first, last = (article[0], article[-1]) if article else (len(nodes), -1)
+    for place, (node, _, _) in enumerate(nodes):
+        inside, listed, heading, label = state[place]
+        if node.name != "#" or not inside:
+            continue
+        linked = 2 * node.link_chars > node.chars
+        if whole:
+            links[place], fixed[place] = int(linked), _fixed(node)
+            continue
+        around = listed and not heading and not first < place < last
+        links[place] = int(linked and around and len(node.contents) >= FIXED_ON)
+        fixed[place] = 0 if label and place < last else _fixed(node)
+    # Only what leads to such a slot is kept.
+    needed = [bool(a or b) for a, b in zip(links, fixed)]
+    for place in range(len(nodes) - 1, 0, -1):
+        needed[nodes[place][2]] |= needed[place]
+    if not needed[0]:
+        return None
+    return [
+        [node.name, links[place], fixed[place], len(node.kids) if needed[place] else 0]
+        for place, (node, _, parent) in enumerate(nodes) if parent < 0 or needed[parent]
+    ]
+
+
+class Place:
+    """A place in a host's pattern, with what goes there."""
+
+    __slots__ = ("name", "links", "fixed", "kids")
+
+    def __init__(self, row: list):
+        self.name, self.links, self.fixed = row[:3]
+        self.kids: list[Place] = []
+
+
+def _trie(paths: list[list[str]]) -> dict:
+    """Paths by their steps; the last step holds a mark under an empty name."""
+    root: dict = {}
+    for names in paths:
+        at = root
+        for name in names:
+            at = at.setdefault(name, {})
+        at[""] = True
+    return root
+
+
+class Cutter:
+    """A plan made ready for many pages."""
+
+    def __init__(self, where: dict) -> None:
+        self.whole = not where["regions"]
+        self.leading = _trie(where["regions"][:1])
+        self.regions, self.spare = _trie(where["regions"]), _trie(where["spare"])
+        self.drop = _rebuilt(where["drop"], Place, lambda p: p.kids) if where["drop"] else None
+
+    def cut(self, page: Node) -> str | None:
+        """The blocks of a page's regions, one per line; None if it lacks the leading region.
+
+        A text in a slot to drop goes only if it is mostly links or the fixed
+        text itself.
+        """
+        blocks: list[str] = []
+        met, none = self.whole, {}
+        waiting = [(page, self.whole, self.drop, self.leading, self.regions, self.spare)]
+        while waiting:
+            node, inside, place, leading, regions, spare = waiting.pop()
+            if is_aside(node.name) and "" not in spare:
+                continue
+            inside, met = inside or "" in regions, met or "" in leading
+            if node.name == "#":
+                words = " ".join(node.text.split())
+                drop = place and (place.links and _mostly_links(node, words) or place.fixed and place.fixed == _mark(words))
+                if inside and words and not drop:
+                    blocks.append(words)
+                continue
+            places = _placed(node.kids, place.kids) if place and place.kids else none
+            waiting.extend([
+                (k, inside, places.get(id(k)), leading.get(k.name, none), regions.get(k.name, none), spare.get(k.name, none))
+                for k in reversed(node.kids)
+            ])
+        return "\n".join(blocks) if met else None
 
-def _dropped(node: Node, path: str, regions: set[str], inside: bool, listed: bool) -> list:
-    """Name, whether to drop links, mark of a fixed text or 0, and children if any has such a slot below.
 
-    ``listed`` says whether the links may go: they do everywhere if the page
-    is the region, else in repeated groups.
-    """
-    path = f"{path}/{node.name}"
-    whole = "/" in regions
-    listed = (whole or listed or (inside and node.repeats)) and (whole or not _is_heading(node.name))
-    inside = inside or path in regions
-    links = fixed = 0
-    if node.name == "#" and inside:
-        links = int(listed and 2 * node.link_chars > node.chars and (whole or len(node.contents) >= FIXED_ON))
-        fixed = _fixed(node)
-    kids = [_dropped(k, path, regions, inside, listed) for k in node.kids]
-    return [node.name, links, fixed, kids if any(k[1] or k[2] or k[3] for k in kids) else []]
-
-
-def _is_heading(name: str) -> bool:
-    return re.split(r"[.#@!]", name, maxsplit=1)[0] in HEADINGS
-
-
-def _runs(kids: list[Node]) -> list[tuple[str, list[Node]]]:
-    """Siblings grouped as ``fold`` groups them."""
-    runs = [(k.name, [k]) for k in kids if not _is_blank(k)]
-    for period in (1, 2):
-        out, i = [], 0
-        while i < len(runs):
-            names = [name for name, _ in runs[i : i + period]]
-            group, j = [(name, list(ones)) for name, ones in runs[i : i + period]], i + period
-            while len(names) == period and [name for name, _ in runs[j : j + period]] == names:
-                for k in range(period):
-                    group[k][1].extend(runs[j + k][1])
-                j += period
-            if j > i + period:
-                out += group
-                i = j
-            else:
-                out.append(runs[i])
-                i += 1
-        runs = out
-    return runs
+def cut(page: Node, where: dict) -> str | None:
+    return Cutter(where).cut(page)
 
 
-def _placed(kids: list[Node], slots: list[list]) -> dict[int, list]:
+def _placed(kids: list[Node], slots: list[Place]) -> dict[int, Place]:
     """The place in the pattern of each child, by ``id``.
 
     The groups of a page are a subsequence of those of its host's pattern;
     each goes to the first place left, which is what aligning does.
     """
     out, at = {}, 0
-    for name, ones in _runs(kids):
-        place = next((i for i in range(at, len(slots)) if slots[i][0] == name), None)
-        if place is not None:
-            at = place + 1
-            out |= {id(one): slots[place] for one in ones}
+    by_name: dict[str, list[int]] = {}
+    for n, slot in enumerate(slots):
+        by_name.setdefault(slot.name, []).append(n)
+    for name, ones in groups_of(kids):
+        places = by_name.get(name, ())
+        here = bisect_left(places, at)
+        if here < len(places):
+            at = places[here] + 1
+            out |= {id(one): slots[places[here]] for one in ones}
     return out
 
 
-def cut(page: Node, where: dict) -> str | None:
-    """The blocks of a page's regions, one per line; None if it lacks the leading region.
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """On how many pages of a batch each token of a host stands; an empty token counts the pages."""
+    for batch in batches:
+        counts: Counter = Counter()
+        for host, page in zip(batch["host"], batch["page"]):
+            counts.update((host, t) for t in {"", *tokens_of_page(page)})
+        rows = [(host, token, n) for (host, token), n in counts.items()]
+        yield pd.DataFrame(rows, columns=["host", "token", "pages"]).astype({"host": "str", "token": "str", "pages": "int64"})
 
-    A text in a slot to drop goes only if it is mostly links or the fixed text
-    itself.
-    """
-    blocks: list[str] = []
-    met = False
-    regions = {where["region"], *where["beside"]}
-
-    def walk(node: Node, path: str, inside: bool, place: list | None) -> None:
-        nonlocal met
-        path = f"{path}/{node.name}"
-        if is_aside(node.name) and path not in where["spare"]:
-            return
-        inside = inside or path in regions
-        met = met or path == where["region"]
-        if node.name == "#":
-            words = " ".join(node.text.split())
-            drop = place and (place[1] and _mostly_links(node, words) or place[2] and place[2] == _mark(words))
-            if inside and words and not drop:
-                blocks.append(words)
-        places = _placed(node.kids, place[3]) if place and place[3] else {}
-        for kid in node.kids:
-            walk(kid, path, inside, places.get(id(kid)))
 
-    walk(page, "", False, where["drop"])
-    return "\n".join(blocks) if met else None
+def tokens_of_page(page: str) -> set[str]:
+    return {t for _, _, closing, tag, said in _Scanner(page).tags() if tag and not closing for t in tokens_of(said)}
+
+
+def common_tokens(rows: DataFrame) -> DataFrame:
+    """``host``, ``known``: the classes, ids, roles and properties that name elements of a host.
+
+    A token must stand on ``COMMON`` of the host's pages, so that there are at
+    most so many per page times its inverse, and on ``FIXED_ON`` pages or all
+    of them. Names made of others, such as an id of each page, would keep pages
+    from being aligned and let the pattern grow with their number.
+    """
+    counts = rows.mapInPandas(_tokens, "host string, token string, pages bigint")
+    counts = counts.groupBy("host", "token").agg(F.sum("pages").alias("pages"))
+    counts = written(counts, "wrapper_tokens")
+    totals = counts.where("token = ''").select("host", F.col("pages").alias("all_pages"))
+    least = F.greatest(F.col("all_pages") * COMMON, F.least(F.col("all_pages"), F.lit(FIXED_ON)))
+    told = F.collect_list(F.when((F.col("token") != "") & (F.col("pages") >= least), F.col("token")))
+    known = counts.join(totals, "host").groupBy("host").agg(F.array_sort(told).alias("known"))
+    return written(known.select(F.col("host").alias("known_host"), F.to_json("known").alias("known")), "wrapper_names")
 
 
 def _patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One pattern per host of a batch, of all its pages."""
     for batch in batches:
         seen: dict[str, Node] = {}
-        for host, page in zip(batch["host"], batch["page"]):
-            own = fold(parse(page))
+        names: dict[str, frozenset] = {}
+        for host, page, known in zip(batch["host"], batch["page"], batch["known"]):
+            if host not in names:
+                names[host] = frozenset(json.loads(known))
+            own = fold(parse(page, names[host]))
             seen[host] = merge(seen[host], own) if host in seen else own
         yield pd.DataFrame({"host": list(seen), "pattern": [json.dumps(p.as_list()) for p in seen.values()]}, dtype="str")
 
@@ -539,20 +848,37 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(text_or_empty(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def wrappers(pages: DataFrame, url: str = "url", page: str = "html", parts: int = 64) -> DataFrame:
-    """``host``, ``pattern``: the wrapper of every host, from all its pages.
+def _named_rows(pages: DataFrame, url: str, page: str, keep: dict[str, Column]) -> DataFrame:
+    """``host``, ``page``, the columns of ``keep``, and the names ``known`` on the host."""
+    rows = pages.select(
+        *[c.alias(n) for n, c in keep.items()],
+        host_of(F.col(url)).alias("host"), text_or_empty(F.col(page)).alias("page"),
+    )
+    known = common_tokens(rows.select("host", "page"))
+    # A hot host is a hot key of this join; adaptive execution splits it.
+    return rows.join(known, rows["host"] == known["known_host"]).drop("known_host")
 
-    A hot host reaches the last task as at most ``parts`` patterns.
-    """
-    rows = pages.select(host_of(F.col(url)).alias("host"), text_or_empty(F.col(page)).alias("page"))
-    found = rows.mapInPandas(_patterns, "host string, pattern string")
+
+def _inferred(rows: DataFrame, parts: int) -> DataFrame:
+    found = rows.select("host", "page", "known").mapInPandas(_patterns, "host string, pattern string")
     part = F.pmod(F.xxhash64("pattern"), F.lit(parts)).alias("part")
     some = found.select("host", part, "pattern")
     some = some.groupBy("host", "part").applyInPandas(_merged, "host string, part bigint, pattern string")
     return some.drop("part").groupBy("host").applyInPandas(_merged, "host string, pattern string")
 
 
-def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+def wrappers(pages: DataFrame, url: str = "url", page: str = "html", parts: int = 64) -> DataFrame:
+    """``host``, ``pattern``: the wrapper of every host, from all its pages.
+
+    A hot host reaches the last task as at most ``parts`` patterns, whose names
+    are bounded by ``common_tokens``.
+    """
+    return _inferred(_named_rows(pages, url, page, {}), parts)
+
+
+def main_text(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", parts: int = 64
+) -> DataFrame:
     """Per row: ``page_id``, ``url``, ``text``, ``n_chars``, ``region``.
 
     The text is cut by the wrapper of the page's host; a page that lacks the
@@ -560,9 +886,11 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
 
     Null and empty pages have an empty text. Pages without a host, null
     addresses included, share one wrapper. Copies of a row get the same text.
-    No rows give no rows. Other columns are not looked at.
+    Elements may be nested without end, and a tag that never ends is text. No
+    rows give no rows. Other columns are not looked at.
     """
-    found = written(wrappers(pages, url, page), "wrappers")
+    rows = _named_rows(pages, url, page, {"page_id": F.col(page_id), "url": F.col(url)})
+    found = written(_inferred(rows, parts), "wrappers")
 
     def plans(patterns: pd.Series) -> pd.Series:
         return pd.Series([json.dumps(plan(Node.from_list(json.loads(p)))) for p in patterns], dtype="str")
@@ -570,23 +898,21 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     where = found.select(F.col("host").alias("plan_host"), F.pandas_udf(plans, "string")("pattern").alias("plan"))
     where = written(where, "wrapper_plans")
 
-    def texts(page_column: pd.Series, plan_column: pd.Series) -> pd.Series:
-        known: dict[str, dict] = {}
+    def texts(page_column: pd.Series, known_column: pd.Series, plan_column: pd.Series) -> pd.Series:
+        ready: dict[tuple[str, str], tuple[frozenset, Cutter]] = {}
         out = []
-        for one, chosen in zip(page_column, plan_column):
-            if chosen not in known:
-                known[chosen] = json.loads(chosen)
-            tree = parse(one)
-            text = cut(tree, known[chosen])
+        for one, known, chosen in zip(page_column, known_column, plan_column):
+            if (known, chosen) not in ready:
+                ready[known, chosen] = frozenset(json.loads(known)), Cutter(json.loads(chosen))
+            names, cutter = ready[known, chosen]
+            tree = parse(one, names)
+            text = cutter.cut(tree)
             out.append(cut(tree, plan(fold(tree))) if text is None else text)
         return pd.Series(out, dtype="str")
 
-    rows = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"),
-        text_or_empty(F.col(page)).alias("page"), host_of(F.col(url)).alias("host"),
-    )
-    # A hot host is a hot key of this join; adaptive execution splits it.
     joined = rows.join(where, rows["host"] == where["plan_host"])
-    text = F.coalesce(F.pandas_udf(texts, "string")("page", "plan"), F.lit(""))
-    cuts = joined.select("page_id", "url", text.alias("text"), F.get_json_object("plan", "$.region").alias("region"))
+    text = F.coalesce(F.pandas_udf(texts, "string")("page", "known", "plan"), F.lit(""))
+    leading = F.get(F.from_json("plan", "regions array<array<string>>")["regions"], F.lit(0))
+    region = F.concat(F.lit("/"), F.array_join(F.coalesce(leading, F.array()), "/"))
+    cuts = joined.select("page_id", "url", text.alias("text"), region.alias("region"))
     return cuts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "region")

@@ -1,4 +1,6 @@
+import json
 import random
+import time
 
 import pytest
 
@@ -86,8 +88,8 @@ def texts_of(pages):
     whole = w.fold(trees[0])
     for tree in trees[1:]:
         whole = w.merge(whole, w.fold(tree))
-    where = w.plan(w.Node.from_list(whole.as_list()))
-    return [w.cut(tree, where) for tree in trees]
+    cutter = w.Cutter(json.loads(json.dumps(w.plan(w.Node.from_list(json.loads(json.dumps(whole.as_list())))))))
+    return [cutter.cut(tree) for tree in trees]
 
 
 def test_a_fixed_slot_takes_no_other_slot_of_its_parent_along():
@@ -141,7 +143,7 @@ def test_hosts_have_their_own_wrappers_and_odd_pages_their_own_cut(spark):
     for r in got.collect():
         assert r.n_chars == len(r.text)
         found.setdefault(r.page_id, []).append(r.text)
-    assert found[0] == ["a" + " long" * 9] and found[10] == ["b 0 and more of it"]
+    assert found[0] == ["a" + " long" * 9 + "\nx"] and found[10] == ["b 0 and more of it"]
     assert found[20] == ["b 9 and more of it"]
     assert found[None] == [""] and found[30] == [""] and found[31] == ["plain words"] * 2
     hosts = {r.host for r in w.wrappers(docs).collect()}
@@ -153,3 +155,97 @@ def test_long_page_is_read_in_one_pass():
     text = "<article>" + "<p>word</p>" * 20_000 + "<" * 20_000 + "<a '" * 2000
     tree = w.parse(text)
     assert w.cut(tree, w.plan(w.fold(tree))).startswith("word\nword")
+
+
+def own_text(text):
+    tree = w.parse(text)
+    return w.cut(tree, w.plan(w.fold(tree)))
+
+
+ENDLESS = {
+    "nested": ("<div>" * 100_000 + "<nav>no</nav><article><p>Text</p></article>", "Text"),
+    "nested and closed": ("<div>" * 50_000 + "<article><p>Text" + "</div>" * 50_000 + "</p>" * 50_000, "Text"),
+    "unknown elements": ("<x-a>" * 50_000 + "<li>one<li>two", "one\ntwo"),
+    "open tags": ("<article>" + "x<y " * 100_000, ("x<y " * 100_000)[:-3]),
+    "one tag to the end": ("<article><p>a</p>" + "x<y " * 100_000 + ">tail", "a\nx\ntail"),
+    "open quotes": ("<article>" + "<a \"x>' " * 50_000 + "<p>end</p>", None),
+    "inline tags": ("<article><p>" + "<b>x</b>" * 100_000, "x" * 100_000),
+    "open script": ("<article>a<script>" + "</script " * 50_000, "a"),
+}
+
+
+@pytest.mark.parametrize("name", ENDLESS)
+def test_odd_pages_take_time_in_proportion(name):
+    text, expected = ENDLESS[name]
+    begin = time.perf_counter()
+    got = own_text(text)
+    assert time.perf_counter() - begin < 30
+    assert got == expected or (expected is None and got.endswith("end"))
+
+
+def test_deep_pages_through_the_operator(spark):
+    deep = "<div>" * 20_000 + "<article><p>%d words</p></article>"
+    pages = [(i, "http://a.example/", deep % i) for i in range(4)]
+    assert {r.page_id: r.text for r in w.main_text(spark.createDataFrame(pages, tables.PAGES)).collect()} == {
+        i: f"{i} words" for i in range(4)}
+
+
+def test_repeats_of_any_length_fold():
+    block = "<h2>a</h2><p>b</p><hr><ul><li>c<li>d</ul><p>e</p>"
+    assert names(w.fold(w.parse("<body>" + block * 7 + "</body>"))) == "(body(h2+(#) p+(#) hr+ ul+(li+(#)) p+(#)))"
+
+
+def test_short_elements_headings_and_links_of_the_article_stay():
+    stories = [tables.prose(RNG, 100) for _ in range(4)]
+    short = [tables.prose(RNG, 16) for _ in range(4)]
+    pages = [f"<body><div class=story><p>{a}</p></div><div class=post><p>{b}</p></div></body>" for a, b in zip(stories, short)]
+    assert texts_of(pages) == [f"{a}\n{b}" for a, b in zip(stories, short)]
+    pages = [
+        f"<body><article><h1>Cake {i}</h1><h2>Ingredients</h2><ul><li>{b}</ul><p>{a}</p><ul><li><a href=/>{i} one</a><li><a href=/>{i} two</a></ul>"
+        f"<p>{b} again</p><div>Write to us</div><h3>More</h3><ul><li><a href=/>{i} x</a><li><a href=/>{i} y</a></ul></article></body>"
+        for i, (a, b) in enumerate(zip(stories, short))
+    ]
+    assert texts_of(pages) == [f"Cake {i}\nIngredients\n{b}\n{a}\n{i} one\n{i} two\n{b} again" for i, (a, b) in enumerate(zip(stories, short))]
+
+
+def template_page(rng, host, i):
+    """A page of a host's template and the text of its article, which is known."""
+    slug = "".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5))
+    blocks = [f"Title {slug}"] + [tables.prose(rng, rng.randint(12, 40)) for _ in range(rng.randint(2, 7))]
+    paragraphs = "".join(f"<p>{b}</p>" for b in blocks[1:])
+    aside = f"<div class='sidebar w-{slug}'><p>{tables.prose(rng, 60)}</p></div>"
+    links = "".join(f"<li class='item-{slug}'><a href=/>{tables.prose(rng, 2)}</a>" for _ in range(4))
+    article = {
+        "a": f"<article id=post-{slug} class='post tag-{slug} hentry'><h1>{blocks[0]}</h1>{paragraphs}</article>",
+        "b": f"<div class='entry-content {slug}'><h1>{blocks[0]}</h1><div id={slug}>{paragraphs}</div></div>",
+        "c": f"<td class=x{slug}><h1>{blocks[0]}</h1>{paragraphs}</td>",
+    }[host]
+    if host == "c":
+        article = f"<table><tr><td><ul>{links}</ul></td>{article}</tr></table>"
+        aside = ""
+    body = f"<body class='page-{slug}'><nav>{links}</nav><div>Always the same words</div>{article}{aside}<footer>{slug}</footer></body>"
+    return page(body), "\n".join(blocks)
+
+
+def test_articles_of_generated_hosts_with_names_of_their_own(spark):
+    rng, rows, expected = random.Random(8), [], {}
+    for i in range(240):
+        host = "abc"[i % 3]
+        html, text = template_page(rng, host, i)
+        rows.append((i, f"https://{host}.example/{i}", html))
+        expected[i] = text
+    docs = spark.createDataFrame(rows, tables.PAGES)
+    assert {r.page_id: r.text for r in w.main_text(docs).collect()} == expected
+
+
+def test_a_pattern_does_not_grow_with_pages(spark):
+    sizes = []
+    for n in (150, 1500):
+        rng = random.Random(9)
+        rows = [(i, "https://a.example/", template_page(rng, "a", i)[0]) for i in range(n)]
+        (found,) = w.wrappers(spark.createDataFrame(rows, tables.PAGES)).collect()
+        sizes.append(len(found.pattern))
+        cutter = w.Cutter(w.plan(w.Node.from_list(json.loads(found.pattern))))
+        known = frozenset((".post", ".hentry"))
+        assert all(cutter.cut(w.parse(r[2], known)) is not None for r in rows)
+    assert sizes[1] < 1.2 * sizes[0]
