@@ -2,6 +2,7 @@
 
 from tallywork.functions.text import (
     accepted_tokens,
+    ends_in_digit,
     is_number,
     is_word,
     pair_key,
@@ -14,6 +15,7 @@ from tallywork.functions.values import null_default
 
 __all__ = [
     "accepted_tokens",
+    "ends_in_digit",
     "is_number",
     "is_word",
     "null_default",

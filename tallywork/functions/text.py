@@ -60,6 +60,11 @@ def is_number(token: Column) -> Column:
     )
 
 
+def ends_in_digit(token: Column) -> Column:
+    """Whether an accepted token is a number: those end in a digit, and words hold none."""
+    return F.substring(token, -1, 1).between("0", "9")
+
+
 def token_kind(token: Column) -> Column:
     """``word``, ``number`` or null; no token is both."""
     return F.when(is_word(token), "word").when(is_number(token), "number")

@@ -62,8 +62,10 @@ def prefix_words_with_count(spans: DataFrame, n: int = rules.COUNT_WANTED) -> Da
     return by_step(count_equals(words_only(spans), n))
 
 
-def prefix_word_pairs_with_count(spans: DataFrame, n: int = rules.COUNT_WANTED) -> DataFrame:
-    return by_step(count_equals(word_word_pairs(spans), n))
+def prefix_word_pairs_with_count(
+    spans: DataFrame, n: int = rules.COUNT_WANTED, accepted: bool = False
+) -> DataFrame:
+    return by_step(count_equals(word_word_pairs(spans, accepted), n))
 
 
 def _top_by_step(spans: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:

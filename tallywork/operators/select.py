@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions import is_number, is_word, rules
+from tallywork.functions import ends_in_digit, is_number, is_word, rules
 from tallywork.operators.counts import PAIR_KEY, TOKEN_KEY
 
 
@@ -17,7 +17,10 @@ def words_only(table: DataFrame) -> DataFrame:
     return table.where(is_word(F.col("token")))
 
 
-def word_word_pairs(table: DataFrame) -> DataFrame:
+def word_word_pairs(table: DataFrame, accepted: bool = False) -> DataFrame:
+    """Pairs of words. If all keys are ``accepted`` tokens, a glance at their ends tells."""
+    if accepted:
+        return table.where(~ends_in_digit(F.col("left")) & ~ends_in_digit(F.col("right")))
     return table.where(is_word(F.col("left")) & is_word(F.col("right")))
 
 
@@ -33,8 +36,10 @@ def words_with_count(counts: DataFrame, n: int = rules.COUNT_WANTED) -> DataFram
     return count_equals(words_only(counts), n)
 
 
-def word_pairs_with_count(counts: DataFrame, n: int = rules.COUNT_WANTED) -> DataFrame:
-    return count_equals(word_word_pairs(counts), n)
+def word_pairs_with_count(
+    counts: DataFrame, n: int = rules.COUNT_WANTED, accepted: bool = False
+) -> DataFrame:
+    return count_equals(word_word_pairs(counts, accepted), n)
 
 
 def _top(counts: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:

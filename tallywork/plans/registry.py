@@ -253,7 +253,7 @@ def words_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.word_word_pairs(pair_counts(spark, sf_dir))
+    return select.word_word_pairs(pair_counts(spark, sf_dir), accepted=True)
 
 
 def number_word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,7 +291,7 @@ def words_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_pairs_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.word_pairs_with_count(pair_counts(spark, sf_dir), COUNT_WANTED)
+    return select.word_pairs_with_count(pair_counts(spark, sf_dir), COUNT_WANTED, accepted=True)
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,7 +330,7 @@ def prefix_words_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prefix_word_pairs_with_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix.prefix_word_pairs_with_count(pair_spans(spark, sf_dir), COUNT_WANTED)
+    return prefix.prefix_word_pairs_with_count(pair_spans(spark, sf_dir), COUNT_WANTED, accepted=True)
 
 
 def prefix_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:

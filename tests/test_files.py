@@ -1,5 +1,8 @@
 """Sources and sinks on files in a fresh folder."""
 
+import random
+import re
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -129,6 +132,29 @@ def test_pair_counts_need_two_parts(spark, tmp_path):
     assert rows(pairs) == [("1,234", "b", 6), ("a", "b", 5)]
 
 
+#: What a line must look like: key, or left and right, and count.
+LINES = {
+    ("tsv", read_token_counts): r"(\S+)\s+([+-]?[0-9]+)\s*",
+    ("tsv", read_pair_counts): r"([^\s:]+):([^\s:]+)\s+([+-]?[0-9]+)\s*",
+    ("tuple", read_token_counts): r"\(([^\n\r\x85\u2028\u2029]*),\s*([+-]?[0-9]+)\s*\)",
+    ("tuple", read_pair_counts): r"\(\s*([^:]*):([^:]*[^\s:])\s*,\s*([+-]?[0-9]+)\s*\)",
+}
+
+
+@pytest.mark.parametrize("form,read", LINES)
+def test_random_lines_are_read_as_their_form_says(spark, tmp_path, form, read):
+    rng = random.Random(17)
+    parts = ["a", "Bc", "1,2", ":", ":", ",", ",", "(", ")", "\t", " ", " ", "7", "-12", "+3", "0x", "\x0b", "\u2028", "é", "\xa0"]
+    wrap = {"tsv": "%s\t%s", "tuple": "(%s,%s)"}[form]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    lines += [wrap % ("".join(rng.choice(parts) for _ in range(rng.randint(0, 5))), rng.choice(parts)) for _ in range(16000)]
+    (tmp_path / "c.txt").write_text("\n".join(lines), encoding="utf-8", newline="\n")
+    told = [re.fullmatch(LINES[form, read], x.lower() if form == "tsv" else x, re.A) for x in lines]
+    expected = sorted((*m.groups()[:-1], int(m.groups()[-1])) for m in told if m)
+    assert len(expected) > 100
+    assert rows(read(spark, str(tmp_path), form)) == expected
+
+
 def test_unknown_form_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         read_token_counts(spark, str(tmp_path), "json")

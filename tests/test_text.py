@@ -82,10 +82,11 @@ def test_pairs_of_the_first_line(spark):
         ("1,234", "articles-about"),
         ("3.14159", "history"),
     }
-    assert {(r.left, r.right) for r in word_word_pairs(counts).collect()} == {
-        ("articles-about", "history"),
-        ("history", "history"),
-    }
+    for accepted in (False, True):
+        assert {(r.left, r.right) for r in word_word_pairs(counts, accepted).collect()} == {
+            ("articles-about", "history"),
+            ("history", "history"),
+        }
 
 
 def test_pairs_never_cross_lines(spark):
