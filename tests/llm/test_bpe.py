@@ -1,0 +1,101 @@
+import hashlib
+import random
+import time
+from array import array
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tallywork.llm import bpe, queries
+from tallywork.llm.memo import Memo
+from tests.llm import tables
+
+PATH = queries.tokenizer("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
+# Case, marks, signs, digits, blanks of all kinds, special tokens, letters whose lower case is longer.
+PIECES = [
+    "a", "b", "aa", "The", "ing", "'s", "'LL", "'", "!", "é", "É", "́", "İ", "ſ", "ß", "Σ", "ﬁ", "日", "本", "‍", "😀", "²", "Ⅷ",
+    "1", "22", "_", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "</w>", " ", " ", "\xa0", "\x1c", "\x00", "\x85", "\n", "\t", " ",
+]
+
+
+def library(text):
+    ids = TOKENIZER.encode(text or "", add_special_tokens=False).ids
+    return ids, TOKENIZER.decode(ids, skip_special_tokens=False)
+
+
+def ours(text):
+    ids, shown = bpe.codec(PATH).encode(text)
+    return array("i", ids).tolist(), shown
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_odd_texts_are_encoded_as_the_library_does(text):
+    assert ours(text) == library(text)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(alphabet="aabbeinst", max_size=40))
+def test_repeats_of_few_letters(text):
+    assert ours(text) == library(text)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(max_size=30).filter(lambda t: not any("\ud800" <= c <= "\udfff" for c in t)))
+def test_any_text(text):
+    assert ours(text) == library(text)
+
+
+def test_last_tokens_of_prefixes_are_those_of_the_library():
+    codec = bpe.codec(PATH)
+    for word in ("internationalization", "aaaaaaaaab", "mississippi", "strengths"):
+        for n in range(1, len(word) + 1):
+            assert codec.word_ids(word[:n]) == library(word[:n])[0]
+
+
+def test_tokens_that_merging_never_gives_are_no_ones_last(tmp_path):
+    # "abc" can only be made of "ab" and "c", but "bc" is merged before "ab".
+    told = ('{"version":"1.0","added_tokens":[],"normalizer":null,"pre_tokenizer":{"type":"Whitespace"},"model":{"type":"BPE",'
+            '"vocab":{"a":0,"b":1,"c":2,"bc":3,"ab":4,"abc":5},"merges":[["b","c"],["a","b"],["ab","c"]]}}')
+    (tmp_path / "t.json").write_text(told)
+    codec, whole = bpe.Codec(str(tmp_path / "t.json")), Tokenizer.from_file(str(tmp_path / "t.json"))
+    for text in ("abc", "ab", "abab", "cabcab", "bcbc"):
+        assert codec.word_ids(text) == whole.encode(text).ids
+
+
+def test_a_long_word_takes_time_in_proportion():
+    text = "ab" * 500_000
+    begin = time.perf_counter()
+    ids, _ = ours(text)
+    assert time.perf_counter() - begin < 20 and len(ids) < len(text) and not bpe.codec(PATH).pieces.get(text)
+
+
+def test_operator_and_query_on_odd_tables(spark, tmp_path):
+    rng = random.Random(2)
+    rows = tables.ODD + tables.some_documents(60) + [tables.row(500 + i, "".join(rng.choice(PIECES) for _ in range(60))) for i in range(100)]
+    docs = tables.clashing(tables.documents(spark, rows))
+    got = bpe.encode(docs, PATH)
+    assert got.columns == ["doc_id", "ids", "decoded"]
+    told = [(r[0], *library(r[1])) for r in rows]
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in got.collect()) == Counter((d, tuple(i), s) for d, i, s in told)
+    back = bpe.decode(got, PATH)
+    assert tables.values(back) == Counter((d, s) for d, _, s in told)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    expected = Counter((d, len(i), digest(" ".join(map(str, i))), digest(s)) for d, i, s in told)
+    assert tables.values(queries.op13_bpe_codec(spark, str(tmp_path))) == expected
+    assert bpe.encode(docs.limit(0), PATH).isEmpty() and bpe.decode(got.limit(0), PATH).isEmpty()
+
+
+@pytest.mark.parametrize("most", [1, 2000, 1 << 20])
+def test_memo_gives_results_at_any_size(most):
+    memo, rng = Memo(lambda keys: [k * 2 for k in keys], most, most_key=8), random.Random(1)
+    for _ in range(3000):
+        keys = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 12))) for _ in range(3)]
+        memo.learn(keys)
+        assert [memo[k] for k in keys] == [k * 2 for k in keys]
+    assert all(len(k) <= 8 for k in [*memo, *memo.old]) and memo.held <= most + 1000
