@@ -13,27 +13,53 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling rejects go."""
+    """Documents that importance resampling rejects go.
+
+    Null, empty and blank texts have log-weight 0 and stay; null ids are
+    scored, copies of a row stay or go together, ties at the last key stay.
+    Other columns are kept as they are; no rows give no rows.
+    """
     return resampling.sampled_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays.
+
+    It is the one with the smallest id, null ids last, then with the smallest
+    text hash, then smallest by all columns; copies of it go. Null, empty and
+    blank texts have fingerprint zero and form a group with all that is linked
+    to it. Other columns stay with their row; no rows give no rows.
+    """
     return simhash.one_per_group(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go.
+
+    Null and empty texts hold none and stay, whatever their ids; copies of a
+    row go together. Without items all stay. Other columns are kept as they
+    are; no rows give no rows.
+    """
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; no document goes."""
+    """Secrets in the texts are replaced by a mark; no document goes.
+
+    ``n_chars`` follows the text. Null and empty texts and texts without
+    secrets stay as they are, as do null ids and all other columns; copies of
+    a row change alike. No rows give no rows.
+    """
     return credentials.redacted(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes, with the number of ``copies`` of each document."""
+    """What the mix takes, with the number of ``copies`` of each document.
+
+    Null and empty texts have size 0 and null is a source of its own, the last
+    one. Rows equal in id, text and source are taken alike. A column named
+    ``copies`` is replaced, the others are kept; no rows give no rows.
+    """
     return mixing.mixed_documents(docs)
 
 
