@@ -17,7 +17,7 @@ running sum gives the place of every match, so no text is shuffled.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,12 +69,16 @@ def _matches(number: int, pattern: str) -> Column:
     ))
 
 
+def may_hold(text: Column) -> Column:
+    """False for texts of which nothing is reported: they have neither a strong part nor a bare secret."""
+    some = [text_or_empty(text).rlike(p) for name, p, _, strong in KINDS if strong or name == "key"]
+    return reduce(or_, some)
+
+
 def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row per match: the row's key, ``kind``, ``start``, ``end`` in code points."""
-    rows = docs.select(*row_key(doc_id, text), text_or_empty(F.col(text)).alias("whole"))
-    # Nothing is reported of a text that has neither a strong part nor a bare secret.
-    some = [F.col("whole").rlike(p) for name, p, _, strong in KINDS if strong or name == "key"]
-    rows = rows.where(some[0] | some[1] | some[2] | some[3])
+    rows = docs.where(may_hold(F.col(text)))
+    rows = rows.select(*row_key(doc_id, text), text_or_empty(F.col(text)).alias("whole"))
     listed = [_matches(number, kind[1]) for number, kind in enumerate(KINDS)]
     rows = rows.select(*KEY, F.explode(F.concat(*listed)).alias("part")).select(*KEY, "part.*")
     rows = rows.where(F.col("found").isNotNull())
@@ -160,8 +164,10 @@ def redacted(
     are, null and empty ones included, and null ids are kept. Copies of a row,
     and rows of one id with different texts, are each redacted by their own
     spans; the other columns stay with their row, whatever their names. No rows
-    give no rows.
+    give no rows. Only texts that may hold a span are shuffled.
     """
+    bare = docs.where(~may_hold(F.col(text)))
+    docs = docs.where(may_hold(F.col(text)))
     found = credential_spans(docs, doc_id, text)
     # Overlapping spans become one.
     ahead = Window.partitionBy(*KEY).orderBy("start", "end")
@@ -192,4 +198,4 @@ def redacted(
         elif name == length:
             column = F.when(F.col("cuts").isNull(), column).otherwise(F.length("clean").cast("bigint"))
         out.append(column.alias(name))
-    return joined.select(*out)
+    return bare.unionByName(joined.select(*out))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tallywork.llm.common import UPPER, LOWER, null_safe_join, text_or_empty, written
+from tallywork.llm.common import LOWER, UPPER, text_or_empty, written
 from tallywork.llm.components import connected
 
 SHINGLE_WORDS = 4
@@ -210,16 +210,18 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """The columns of ``docs``; of each component the row with the smallest id.
 
     Of rows that share this id, the one with the smallest text hash stays, and
-    of copies of that row any one.
+    of rows equal in both the smallest by all their columns, in order; these
+    must have an order. A null id stays only in a component of null ids. Null
+    and empty texts are one component. No rows give no rows.
     """
     found = near_duplicates(docs, doc_id, text)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key_text")
     stays = found.groupBy("root").agg(F.min(order).alias("first"))
-    stays = stays.select("first.doc_id", "first.key_text").distinct()
+    # Keys without nulls, by which rows are joined and grouped in one shuffle.
+    key = lambda own_id: [own_id.isNull().alias("no_id"), F.coalesce(own_id.cast("string"), F.lit("")).alias("own_id")]
+    stays = stays.select(*key(F.col("first.doc_id")), "first.key_text").distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    rows = rows.select(
-        "row", F.col(f"row.{doc_id}").alias("doc_id"),
-        F.xxhash64(text_or_empty(F.col(f"row.{text}"))).alias("key_text"),
-    )
-    kept = null_safe_join(rows, stays, ["doc_id", "key_text"], "inner")
-    return kept.groupBy("doc_id", "key_text").agg(F.first("row").alias("row")).select("row.*")
+    rows = rows.select("row", *key(F.col(f"row.{doc_id}")), F.xxhash64(text_or_empty(F.col(f"row.{text}"))).alias("key_text"))
+    names = ["no_id", "own_id", "key_text"]
+    kept = rows.join(stays, names).groupBy(*names).agg(F.min("row").alias("row"))
+    return kept.select("row.*")
