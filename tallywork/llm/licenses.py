@@ -4,9 +4,12 @@ Every run of three words of a text is looked up among the runs of the license
 templates. A hit at word p of the text and word q of a template votes for the
 diagonal p - q: a template that stands in the text as it is puts all its votes
 on one diagonal, and a word added or left out moves the rest to the next.
-Votes are summed per diagonal, neighbouring diagonals that carry on where the
-one before ended are merged, and a merged span counts if enough of the
-template is in it and it is not much longer than the template.
+Votes are gathered per diagonal. Each diagonal is merged with its neighbours
+above, as far as words may be added to the template, and the merged band counts
+if enough of the template's runs are in it, each counted once. So it does not
+matter how often a statement is broken, whether its own words are repeated in
+between, or which other hits lie near it. A band is as long as the template and
+the words that may be added, so no span is much longer than its template.
 
 The templates are a fixed list, so looking them up is a broadcast join of a
 known size, and only hits are shuffled.
@@ -47,8 +50,8 @@ TEMPLATES = (
 )
 WORD_PATTERN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 GRAM_WORDS = 3
-#: Words that may be added or left out between two merged diagonals.
-SHIFT = 4
+#: Words that may be added to a template: a share of its words, and some more.
+ADDED_SHARE, ADDED_WORDS = 0.25, 4
 #: Share of a template's runs that a span must have.
 LEAST_SCORE = 0.8
 
@@ -81,7 +84,10 @@ def grams(rows: DataFrame, kept: list[str]) -> DataFrame:
 
 
 def template_grams(spark: SparkSession) -> DataFrame:
-    """All runs of all templates: ``template``, ``label``, ``is_base``, ``n_runs``, ``at``, words."""
+    """All runs of all templates: ``template``, ``label``, ``is_base``, ``n_runs``, ``reach``, ``at``, words.
+
+    ``reach`` is how many diagonals lie in one band beside its first.
+    """
     listed = [(label, text, True) for label, text in BASE_PHRASES]
     listed += [(label, text, False) for label, text in TEMPLATES]
     literal = F.array(*[
@@ -91,7 +97,9 @@ def template_grams(spark: SparkSession) -> DataFrame:
     rows = spark.range(1).select(F.inline(literal))
     rows = rows.withColumn("words", F.split("text", " "))
     rows = rows.withColumn("n_runs", F.size("words") - (GRAM_WORDS - 1))
-    kept = ["template", "label", "is_base", "n_runs"]
+    reach = F.floor(F.size("words") * ADDED_SHARE).cast("int") + ADDED_WORDS
+    rows = rows.withColumn("reach", F.when(F.col("is_base"), 0).otherwise(reach))
+    kept = ["template", "label", "is_base", "n_runs", "reach"]
     return grams(rows, kept).withColumnRenamed("place", "at")
 
 
@@ -99,42 +107,39 @@ def license_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """One row per span: the row's key, ``label``, ``is_base``, ``first_word``, ``last_word``, ``score``.
 
     ``is_base`` spans are the places of the base phrases, each on a diagonal
-    of its own. Words count from 0.
+    of its own. A statement that stands several times in a text is one span
+    for every run of bands that are no further apart than words may be added.
+    Words count from 0. Null and empty texts have no spans, copies of a row
+    have theirs once, no rows give no rows, other columns are not looked at.
     """
     rows = docs.select(*row_key(doc_id, text), words(F.col(text)).alias("words"))
     names = [f"w{i}" for i in range(GRAM_WORDS)]
     known = F.broadcast(template_grams(docs.sparkSession))
     hits = grams(rows, KEY).join(known, names).drop(*names)
-    hits = hits.withColumn("diagonal", F.col("place") - F.col("at"))
-    # Copies of a row vote once.
-    group = [*KEY, "template", "label", "is_base", "n_runs", "diagonal"]
-    votes = hits.groupBy(*group, "place").agg(F.min("at").alias("at")).groupBy(*group).agg(
-        F.count("*").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last"),
-        F.min("at").alias("begin"), F.max("at").alias("end"),
-    )
-    along = Window.partitionBy(*KEY, "template").orderBy("first", "diagonal")
-    before = {c: F.lag(c).over(along) for c in ("diagonal", "last", "end")}
-    carries_on = (
-        ~F.col("is_base")
-        & (F.abs(F.col("diagonal") - before["diagonal"]) <= SHIFT)
-        & (F.col("first") > before["last"])
-        & (F.col("begin") > before["end"])
-        & (F.col("first") - before["last"] <= GRAM_WORDS + SHIFT)
-    )
-    marked = votes.withColumn("opens", F.when(carries_on, 0).otherwise(1))
-    marked = marked.withColumn("span", F.sum("opens").over(along))
-    spans = marked.groupBy(*KEY, "template", "label", "is_base", "n_runs", "span").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("first_word"),
-        (F.max("last") + GRAM_WORDS - 1).cast("bigint").alias("last_word"),
-    )
-    score = F.least(F.lit(1.0), F.col("votes") / F.col("n_runs"))
-    spans = spans.withColumn("score", score)
-    length, whole = F.col("last_word") - F.col("first_word") + 1, F.col("n_runs") + GRAM_WORDS - 1
-    wanted = F.when(F.col("is_base"), F.col("votes") == F.col("n_runs")).otherwise(
-        (F.col("score") >= LEAST_SCORE) & (length <= whole * 1.25 + SHIFT)
-    )
-    return spans.where(wanted).select(
-        *KEY, "label", "is_base", F.col("first_word").cast("bigint").alias("first_word"), "last_word", "score"
+    hits = hits.withColumn("diagonal", (F.col("place") - F.col("at")).cast("int"))
+    # Copies of a row vote once; a diagonal holds a run of the template once.
+    group = [*KEY, "template", "label", "is_base", "n_runs", "reach"]
+    votes = hits.groupBy(*group, "diagonal").agg(F.collect_set("at").alias("ats"))
+    widest = max(int(len(told.split()) * ADDED_SHARE) + ADDED_WORDS for _, told in TEMPLATES)
+    above = Window.partitionBy(*KEY, "template").orderBy("diagonal").rangeBetween(0, widest)
+    bands = votes.withColumn("near", F.collect_list(F.struct("diagonal", "ats")).over(above))
+    bands = bands.withColumn("band", F.filter("near", lambda v: v.diagonal <= F.col("diagonal") + F.col("reach"))).drop("near")
+    share = F.size(F.array_distinct(F.flatten("band.ats"))) / F.col("n_runs")
+    bands = bands.withColumn("score", share)
+    bands = bands.where(F.col("score") >= F.when(F.col("is_base"), 1.0).otherwise(LEAST_SCORE))
+    first = F.transform("band", lambda v: v.diagonal + F.array_min(v.ats))
+    last = F.transform("band", lambda v: v.diagonal + F.array_max(v.ats))
+    bands = bands.withColumns({"first": F.array_min(first), "last": F.array_max(last)})
+    # Bands of one statement overlap; the best of them, then the first, tells its span.
+    along = Window.partitionBy(*KEY, "template").orderBy("diagonal")
+    apart = F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(along) > F.col("reach"))
+    bands = bands.withColumn("opens", F.when(apart, 1).otherwise(0))
+    bands = bands.withColumn("span", F.sum("opens").over(along))
+    best = F.max_by(F.struct("first", "last", "score"), F.struct("score", -F.col("diagonal")))
+    spans = bands.groupBy(*KEY, "template", "label", "is_base", "span").agg(best.alias("best"))
+    return spans.select(
+        *KEY, "label", "is_base", F.col("best.first").cast("bigint").alias("first_word"),
+        (F.col("best.last") + GRAM_WORDS - 1).cast("bigint").alias("last_word"), F.col("best.score").alias("score"),
     )
 
 

@@ -77,8 +77,9 @@ _LISTED = ",\n  ".join(
     )
 )
 
-# Rows are told apart by their place in the table. A span is a chain of
-# diagonals; a template of n words has n - 2 runs of three.
+# Rows are told apart by their place in the table. A template of n words has
+# n - 2 runs of three; a band is a diagonal and those above it, as many as
+# words may be added.
 _LICENSES = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS n, doc_id,
@@ -89,32 +90,24 @@ listed(template, label, is_base, told) AS (VALUES
   {_LISTED}),
 templates AS (SELECT *, string_split(told, ' ') AS w FROM listed),
 known AS (
-  SELECT template, label, is_base, len(w) - 2 AS n_runs, i - 1 AS q, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  SELECT template, label, is_base, len(w) - 2 AS n_runs,
+         CASE WHEN is_base THEN 0
+              ELSE CAST(floor(len(w) * {licenses.ADDED_SHARE}) AS BIGINT) + {licenses.ADDED_WORDS} END AS reach,
+         i - 1 AS q, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
   FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM templates)),
 runs AS (
   SELECT n, i - 1 AS place, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
   FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM docs)
   WHERE w[i] IN (SELECT a FROM known)),
-votes AS (
-  SELECT n, template, label, is_base, n_runs, place - q AS diagonal, count(*) AS votes,
-         min(place) AS first, max(place) AS last, min(q) AS begins, max(q) AS ends
-  FROM runs JOIN known USING (a, b, c) GROUP BY ALL),
-marked AS (
-  SELECT *, CASE WHEN NOT is_base AND abs(diagonal - lag(diagonal) OVER along) <= {licenses.SHIFT}
-                  AND first > lag(last) OVER along AND begins > lag(ends) OVER along
-                  AND first - lag(last) OVER along <= {licenses.GRAM_WORDS + licenses.SHIFT} THEN 0 ELSE 1 END AS opens
-  FROM votes WINDOW along AS (PARTITION BY n, template ORDER BY first, diagonal)),
-chained AS (
-  SELECT *, sum(opens) OVER (PARTITION BY n, template ORDER BY first, diagonal
-                             ROWS UNBOUNDED PRECEDING) AS span FROM marked),
-spans AS (
-  SELECT n, label, is_base, n_runs, sum(votes) AS votes, min(first) AS first_word, max(last) + 2 AS last_word
-  FROM chained GROUP BY n, template, label, is_base, n_runs, span),
-found AS (
-  SELECT *, least(1.0::DOUBLE, votes::DOUBLE / n_runs) AS share FROM spans
-  WHERE CASE WHEN is_base THEN votes = n_runs
-        ELSE votes::DOUBLE / n_runs >= {licenses.LEAST_SCORE}
-             AND last_word - first_word + 1 <= (n_runs + 2) * 1.25 + {licenses.SHIFT} END),
+hits AS (
+  SELECT n, template, label, is_base, n_runs, reach, place - q AS diagonal, place, q FROM runs JOIN known USING (a, b, c)),
+bands AS (
+  SELECT n, label, is_base, d.diagonal AS first_word, count(DISTINCT h.q)::DOUBLE / n_runs AS share
+  FROM (SELECT DISTINCT n, template, label, is_base, n_runs, reach, diagonal FROM hits) d
+  JOIN hits h USING (n, template, label, is_base, n_runs, reach)
+  WHERE h.diagonal BETWEEN d.diagonal AND d.diagonal + d.reach
+  GROUP BY n, template, label, is_base, n_runs, d.diagonal),
+found AS (SELECT * FROM bands WHERE share >= CASE WHEN is_base THEN 1 ELSE {licenses.LEAST_SCORE} END),
 summed AS (
   SELECT n, count(*) FILTER (WHERE is_base) AS n_base,
          min(first_word) FILTER (WHERE is_base) AS first_word, max(first_word) FILTER (WHERE is_base) AS last_word,

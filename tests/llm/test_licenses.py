@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -47,6 +48,55 @@ def test_longer_statements_are_found_with_words_added_or_left_out(spark):
     assert all(0 <= score <= 1 for _, score in got.values())
 
 
+BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met"
+)
+
+
+def band_model(text):
+    """Labels and best score, from every pair of a run of the text and a run of a template."""
+    words, found = (text or "").translate(LOWER).split(), {}
+    listed = [(lab, t, True) for lab, t in licenses.BASE_PHRASES] + [(lab, t, False) for lab, t in licenses.TEMPLATES]
+    for label, told, base in listed:
+        known = told.split()
+        hits = {
+            (p - q, q) for p in range(len(words) - 2) for q in range(len(known) - 2) if words[p : p + 3] == known[q : q + 3]
+        }
+        reach = 0 if base else int(len(known) * licenses.ADDED_SHARE) + licenses.ADDED_WORDS
+        shares = [len({q for d, q in hits if low <= d <= low + reach}) / (len(known) - 2) for low, _ in hits]
+        best = max(shares, default=0)
+        if best >= (1 if base else licenses.LEAST_SCORE):
+            found[label] = max(best, found.get(label, 0))
+    return ",".join(sorted(found)), max(found.values(), default=0.0)
+
+
+def test_statements_with_stray_and_repeated_words_equal_a_plain_model(spark):
+    rng, bsd = random.Random(6), BSD.split()
+    texts = [
+        " ".join(bsd[:11] + bsd[8:11] + bsd[11:]),
+        " ".join(bsd[:4] + bsd[15:18] + bsd[4:]),
+        " ".join(bsd[10:13] + ["so"] + bsd + ["and"] + bsd[:3]),
+        " ".join(bsd + ["x"] * 3 + bsd + ["y"] * 400 + bsd),
+    ]
+    known = [t.split() for _, t in licenses.TEMPLATES]
+    for _ in range(150):
+        words = list(rng.choice(known))
+        for _ in range(rng.randint(0, 6)):
+            at, own = rng.randrange(len(words)), rng.randrange(len(words))
+            change = rng.choice([[], ["odd"], words[own : own + rng.randint(1, 5)]])
+            words[at : at + rng.randint(0, 1)] = change or words[at : at + 1]
+        texts.append(" ".join(rng.choice(known)[:7] + words + words[:4]))
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(tables.documents(spark, [tables.row(i, t) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        labels, score = band_model(t)
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-12, t
+    assert all(got[i] == ("bsd", 1.0) for i in (0, 2, 3)) and got[1][0] == "bsd"
+    spans = licenses.license_spans(tables.documents(spark, [tables.row(3, texts[3])])).orderBy("first_word").collect()
+    n = len(bsd)
+    assert [(r.first_word, r.last_word) for r in spans] == [(0, n - 1), (n + 3, 2 * n + 2), (2 * n + 403, 3 * n + 402)]
+
+
 def test_empty_table_and_native_plan(spark):
     docs = tables.documents(spark, tables.ODD)
     assert licenses.scan(docs.limit(0)).isEmpty()
