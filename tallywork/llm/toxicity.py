@@ -2,14 +2,18 @@
 
 The features of a text are the character n-grams of its distinct words, hashed
 into buckets; a feature's value is the number of distinct words that have it,
-over the root of the number of distinct words, times its naive Bayes log-count
-ratio between both labels. Logistic regression
-over the scaled features is fitted on a bounded sample of labelled rows. As
-features add up word by word, a worker scores each word once and remembers it.
+over a power of the number of distinct words, times its naive Bayes log-count
+ratio between both labels. Words are runs of letters, so that marks put between
+or behind them change nothing. Logistic regression over the scaled features is
+fitted on a bounded sample of labelled rows. A part of the sample is first kept
+back to find where scores part the labels best, and the constant is moved
+there. As features add up word by word, a worker scores each word once and
+remembers it.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterable
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from tallywork.llm.common import text_or_empty
+from tallywork.llm.memo import Memo
 from tallywork.llm.samples import labelled_ids
 
 SIZES = (4, 5)
@@ -31,12 +36,25 @@ SAMPLE_ROWS = 6_000
 SMOOTHING = 1.0
 RIDGE = 1e-5
 ROUNDS, RATE = 100, 0.1
-#: Words a worker remembers the score of; it starts anew beyond that.
-MEMORY = 400_000
+#: What sums over the distinct words of a text are divided by: this power of their number.
+POWER = 0.6
+#: One in so many rows of the sample is kept back for the limit between labels.
+INNER_FOLDS = 4
+#: Letters of a word at most: longer runs of letters are several words.
+WORD_LETTERS = 64
+#: Bytes a worker takes to remember scores of words, about.
+MEMORY = 100_000_000
+
+_WORD = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
 
 
 def words_of(text: str) -> set[str]:
-    return set(text.lower().split())
+    """The distinct words of a text in lower case."""
+    return set(_WORD.findall(text.lower()))
+
+
+def damped(n: int) -> float:
+    return max(1, n) ** -POWER
 
 
 def grams_of(word: str) -> list[int]:
@@ -57,7 +75,7 @@ class Model:
 
     def __init__(self, weights: np.ndarray, constant: float):
         self.weights, self.constant = weights, constant
-        self.known: dict[str, float] = {}
+        self.known = Memo(self._scores, MEMORY)
 
     def __getstate__(self):
         return self.weights, self.constant
@@ -65,18 +83,16 @@ class Model:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def word(self, word: str) -> float:
-        score = self.known.get(word)
-        if score is None:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            score = self.known[word] = float(self.weights[grams_of(word)].sum())
-        return score
+    def _scores(self, words: list[str]) -> list[float]:
+        return [float(self.weights[grams_of(w)].sum()) for w in words]
+
+    def log_odds(self, words: set[str]) -> float:
+        known = self.known
+        # In order, so that sums do not depend on the order of a set.
+        return self.constant + sum([known[w] for w in sorted(words)]) * damped(len(words))
 
     def score(self, text: str) -> float:
-        words = words_of(text)
-        z = self.constant + sum(map(self.word, words)) / max(1, len(words)) ** 0.5
-        return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+        return float(1 / (1 + np.exp(-np.clip(self.log_odds(words_of(text)), -35, 35))))
 
 
 def fit_words(texts: Iterable[set[str]], labels: np.ndarray) -> Model:
@@ -112,7 +128,7 @@ def fit_words(texts: Iterable[set[str]], labels: np.ndarray) -> Model:
     # Both labels weigh in by the root of their share, so that the rarer one is heard.
     weigh = np.where(labels == 1, np.sqrt((1 - share) / share), 1.0)
     weigh /= weigh.sum()
-    scale = np.array([max(1, n) ** -0.5 for n in sizes])
+    scale = np.array([damped(n) for n in sizes])
     w, b = np.zeros(BUCKETS), 0.0
     mean, spread, mean_b, spread_b = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
@@ -129,6 +145,41 @@ def fit_words(texts: Iterable[set[str]], labels: np.ndarray) -> Model:
     return Model(ratio * w, float(b))
 
 
+def best_limit(odds: np.ndarray, labels: np.ndarray) -> float:
+    """Where log-odds part the labels best, by the F1 of the rarer one, label 1.
+
+    Between two neighbouring rows any limit parts alike: 0 is taken if it lies
+    there, else the middle. Of equally good gaps the one nearest to 0 counts.
+    """
+    order = np.argsort(-odds, kind="stable")
+    odds, labels = odds[order], labels[order]
+    hit, taken = np.cumsum(labels), np.arange(1, len(labels) + 1)
+    f1 = 2 * hit / (taken + labels.sum())
+    below = np.r_[odds[1:], odds[-1] - 1]
+    # Rows of equal odds cannot be parted.
+    f1 = np.where(below < odds, f1, -1)
+    limit = np.where((below < 0) & (odds >= 0), 0, (odds + below) / 2)
+    best = np.flatnonzero(f1 == f1.max())
+    return float(limit[best[np.argmin(np.abs(limit[best]))]])
+
+
+def fit_limited(texts: list[str], labels: np.ndarray, inner: np.ndarray) -> Model:
+    """Fits on all texts, given as their words; rows marked ``inner`` set the limit.
+
+    These are left out of a first fit and scored by it. Without both labels on
+    either side the limit stays at 0.
+    """
+    sets = lambda rows: (set(texts[i].split(" ")) - {""} for i in rows)
+    limit = 0.0
+    sides = labels[inner], labels[~inner]
+    if all(0 < side.sum() < len(side) for side in sides):
+        first = fit_words(sets(np.flatnonzero(~inner)), sides[1])
+        limit = best_limit(np.array([first.log_odds(w) for w in sets(np.flatnonzero(inner))]), sides[0])
+    model = fit_words(sets(range(len(texts))), labels)
+    model.constant -= limit
+    return model
+
+
 def _word_lists(texts: pd.Series) -> pd.Series:
     return pd.Series([" ".join(sorted(words_of(t))) for t in texts])
 
@@ -146,14 +197,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Where ids repeat there may be more rows than ids: a hash of the row picks.
     rows = rows.select("id", listed, "label").orderBy(F.xxhash64("id", "words"), "id", "words").limit(most).toPandas()
     rows = rows.sort_values(["id", "words"])
-    texts = (set(w.split(" ")) - {""} for w in rows["words"])
-    return fit_words(texts, rows["label"].to_numpy(np.float64))
+    inner = np.array([zlib.crc32(f"inner {i}".encode()) % INNER_FOLDS == 0 for i in rows["id"]], bool)
+    return fit_limited(rows["words"].tolist(), rows["label"].to_numpy(np.float64), inner)
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``score``, ``predicted``.
 
-    Null and empty texts have no features and get the model's constant. Null
+    Null and empty texts and texts without letters have no features and get
+    the model's constant. Texts and words of any length are read whole. Null
     ids count as held out. Without labels of both kinds the score is their
     smoothed share for all. Copies of a row get the same score. No rows give
     no rows. Other columns are not looked at.
