@@ -8,7 +8,8 @@ proportion to their weights. Documents outside the sample are rejected.
 
 Long texts would make the ratio all or nothing, so log-weights are those of a
 typical stretch of ``STRETCH`` n-grams: the mean over the text, pulled to 0 by
-``PRIOR`` neutral n-grams, times that length. k is the number of documents
+``PRIOR`` neutral n-grams, times that length. k is stated by the caller, as a
+number or a share of the rows; without either it is the number of documents
 whose log-weight is at least ``REJECT_BELOW``.
 """
 
@@ -36,8 +37,9 @@ STRETCH, PRIOR, REJECT_BELOW = 100, 20, -20.0
 #: Labelled rows that make up the target, at most.
 SAMPLE_ROWS = 20_000
 SEED = 5
-#: Words a worker remembers the codes of; it starts anew beyond that.
-MEMORY = 200_000
+#: Tokens a worker remembers the codes of, and characters of one at most; it
+#: starts anew beyond that.
+MEMORY, MEMORY_CHARS = 200_000, 64
 
 _KIND_OF_SYMBOL = {c: 6 + i % 6 for i, c in enumerate("#*$%&|<>!?.,;:-")}
 
@@ -58,11 +60,14 @@ def shape_of(token: str) -> int:
 
 
 class Codes(dict):
-    """Token to its hash and shape in one number."""
+    """Token to its hash and shape in one number. Long tokens are not kept."""
 
     def __missing__(self, token: str) -> int:
         code = zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) << 4 | shape_of(token)
-        self[token] = code
+        if len(token) <= MEMORY_CHARS:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[token] = code
         return code
 
 
@@ -71,8 +76,6 @@ _codes = Codes()
 
 def buckets_of(text: str | None) -> np.ndarray:
     """The buckets of all n-grams of a text: words, word pairs, shape triples."""
-    if len(_codes) > MEMORY:
-        _codes.clear()
     code = np.array([_codes[t] for t in TOKEN.findall(text or "")], np.int64)
     if not len(code):
         return code
@@ -140,9 +143,9 @@ def weight(text: Column, ratio: np.ndarray) -> Column:
     return F.pandas_udf(weights, shape)(text_or_empty(text))
 
 
-def gumbel(seed: int, *names: str) -> Column:
+def gumbel(seed: int | Column, *names: str) -> Column:
     """Gumbel noise fixed by a hash of the row: the same in every run."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *names), 11)
+    bits = F.shiftrightunsigned(F.xxhash64(seed if isinstance(seed, Column) else F.lit(seed), *names), 11)
     return -F.log(-F.log((bits + 0.5) / float(1 << 53)))
 
 
@@ -175,35 +178,34 @@ def kth_largest(rows: DataFrame, name: str, k: int, buckets: int = 4096, rounds:
     return low
 
 
-class Sampler:
-    """A fitted sample: the ratio of both models and the key of the last document in it."""
-
-    def __init__(self, ratio: np.ndarray, last_key: float):
-        self.ratio, self.last_key = ratio, last_key
-
-    def score(self, rows: DataFrame) -> DataFrame:
-        """``n_grams``, ``log_weight``, ``gumbel_key`` and ``kept`` next to ``key_id``, ``key_text``, ``whole``."""
-        return _scored(rows, self.ratio).withColumn("kept", F.col("gumbel_key") >= self.last_key)
-
-
-def _scored(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
+def _scored(rows: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
     rows = rows.withColumn("weight", weight(F.col("whole"), ratio))
     rows = rows.withColumns({"n_grams": F.col("weight.n_grams"), "log_weight": F.col("weight.log_weight")}).drop("weight")
-    return rows.withColumn("gumbel_key", F.col("log_weight") + gumbel(SEED, "key_id", "key_text"))
+    return rows.withColumn("gumbel_key", F.col("log_weight") + gumbel(seed, "key_id", "key_text"))
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(*row_key(doc_id, text), F.col(text).alias("whole"))
 
 
-def _key_of_last(scored: DataFrame) -> float:
-    k = scored.where(F.col("log_weight") >= REJECT_BELOW).count()
-    return kth_largest(scored, "gumbel_key", k)
+def _key_of_last(scored: DataFrame, size: int | None, share: float | None) -> float:
+    if share is not None:
+        size = round(scored.count() * share)
+    if size is None:
+        size = scored.where(F.col("log_weight") >= REJECT_BELOW).count()
+    return kth_largest(scored, "gumbel_key", size)
 
 
-def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    size: int | None = None, share: float | None = None, seed: int = SEED,
+) -> DataFrame:
     """Per row: ``doc_id``, ``n_grams``, ``log_weight``, ``gumbel_key``, ``kept``.
 
+    The sample has ``size`` rows, or ``share`` of all rows; without either as
+    many as have a log-weight that is no sign of other text. It is drawn
+    without replacement in proportion to the weights; ``seed`` fixes the draw.
+
     Null and empty texts have no n-grams and log-weight 0. Null ids are scored
     but never part of the target. Without documents labelled 1 all log-weights
     are 0 and all documents are kept. Copies of a row share their noise and
@@ -211,22 +213,29 @@ def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     no rows. Other columns are not looked at.
     """
     ratio = fit(docs, labels, doc_id, text)
-    scored = _scored(_rows(docs, doc_id, text), ratio)
+    scored = _scored(_rows(docs, doc_id, text), ratio, seed)
     scored = written(scored.select("key_id", "n_grams", "log_weight", "gumbel_key"), "resampling_scores")
-    kept = (F.col("gumbel_key") >= _key_of_last(scored)).alias("kept")
+    kept = (F.col("gumbel_key") >= _key_of_last(scored, size, share)).alias("kept")
     return scored.select(F.col("key_id").alias("doc_id"), "n_grams", "log_weight", "gumbel_key", kept)
 
 
-def sampled_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are in the sample, as they are.
+def sampled_documents(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    size: int | None = None, share: float | None = None, seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs`` that ``resample`` keeps, as they are.
+
+    Rows are written next to their scores and filtered when read again, so
+    that texts are scored once and never shuffled.
 
-    Scores are taken once to find the last key and again to filter, so that
-    texts are never shuffled.
+    Null and empty texts have log-weight 0; null ids are scored; copies of a
+    row, and ties at the last key, stay or go together; no rows give no rows.
+    All columns stay as they are, whatever their names.
     """
     ratio = fit(docs, labels, doc_id, text)
-    scored = _scored(_rows(docs, doc_id, text), ratio).select("log_weight", "gumbel_key")
-    sampler = Sampler(ratio, _key_of_last(written(scored, "resampling_scores")))
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     rows = rows.select("row", F.col(f"row.{doc_id}").alias("own_id"), F.col(f"row.{text}").alias("whole"))
-    rows = rows.select("row", "whole", *row_key("own_id", "whole"))
-    return sampler.score(rows).where("kept").select("row.*")
+    scored = _scored(rows.select("row", "whole", *row_key("own_id", "whole")), ratio, seed)
+    scored = written(scored.select("row", "log_weight", "gumbel_key"), "resampling_scores")
+    last_key = _key_of_last(scored, size, share)
+    return scored.where(F.col("gumbel_key") >= last_key).select("row.*")

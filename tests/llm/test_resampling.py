@@ -67,6 +67,52 @@ def test_noise_is_gumbel_and_the_same_in_every_run(spark):
     assert abs(np.mean(noise) - 0.5772) < 0.05 and abs(np.var(noise) - math.pi**2 / 6) < 0.1
 
 
+def inclusion(weights, k):
+    """The chance of each row to be among k draws without replacement, draw by draw."""
+    chance = dict.fromkeys(range(len(weights)), 0.0)
+
+    def draw(left, p, k):
+        if not k:
+            return
+        total = sum(weights[i] for i in left)
+        for i in left:
+            chance[i] += p * weights[i] / total
+            draw(left - {i}, p * weights[i] / total, k - 1)
+
+    draw(frozenset(chance), 1.0, k)
+    return [chance[i] for i in range(len(weights))]
+
+
+def test_samples_are_drawn_in_proportion_to_weights_without_replacement(spark):
+    weights, k, seeds = [8.0, 4.0, 2.0, 1.0, 1.0, 0.5, 0.1], 3, 20_000
+    rows = spark.createDataFrame([(i, math.log(w)) for i, w in enumerate(weights)], "key_id long, log_weight double")
+    draws = rows.join(spark.range(seeds).withColumnRenamed("id", "seed"), F.col("seed").isNotNull())
+    keys = draws.select("seed", "key_id", (F.col("log_weight") + resampling.gumbel(F.col("seed"), "key_id")).alias("key")).toPandas()
+    taken = keys.sort_values("key", ascending=False).groupby("seed").head(k)["key_id"].value_counts()
+    for i, chance in enumerate(inclusion(weights, k)):
+        error = 5 * math.sqrt(chance * (1 - chance) / seeds)
+        assert abs(taken.get(i, 0) / seeds - chance) < error
+
+
+def test_stated_sizes_shares_and_seeds(spark):
+    good, bad = corpus()
+    labels = labelled(spark, good + bad)
+    docs = tables.documents(spark, good + bad)
+    found = resampling.resample(docs, labels, size=40, seed=8).collect()
+    order = sorted(found, key=lambda r: -r.gumbel_key)
+    assert {r.doc_id for r in found if r.kept} == {r.doc_id for r in order[:40]}
+    same = resampling.sampled_documents(docs, labels, share=40 / len(found), seed=8)
+    assert {r.doc_id for r in same.collect()} == {r.doc_id for r in order[:40]}
+    other = resampling.resample(docs, labels, size=40, seed=9).where("kept").collect()
+    assert len(other) == 40 and {r.doc_id for r in other} != {r.doc_id for r in order[:40]}
+
+
+def test_long_tokens_are_not_remembered():
+    resampling.buckets_of("w" * 100_000 + " " + "#" * 100_000 + " " + " ".join(map(str, range(resampling.MEMORY + 10))))
+    assert len(resampling._codes) <= resampling.MEMORY
+    assert max(map(len, resampling._codes)) <= resampling.MEMORY_CHARS
+
+
 def test_odd_tables(spark):
     docs = tables.clashing(tables.documents(spark, tables.ODD))
     none = spark.createDataFrame([], tables.LABELS)
