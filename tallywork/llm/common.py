@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.session import scratch_path
+from tallywork.session import remove_path, scratch_path
 
 # Everything but blank, tab, line feed, vertical tab, form feed and carriage
 # return. Spelled out as ranges: threads of one JVM match it faster so.
@@ -15,6 +18,26 @@ WORD_PATTERN = r"[\x00-\x08\x0E-\x1F\x21-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` makes inside, in order."""
+    paths: list[str] = []
+    token = _tables.set(paths)
+    try:
+        yield paths
+    finally:
+        _tables.reset(token)
+
+
+def keep_last(spark: SparkSession, paths: list[str]) -> None:
+    """Removes all of these tables but the last, once nothing else reads them."""
+    while len(paths) > 1:
+        remove_path(spark, paths.pop(0))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared scratch folder.
 
@@ -23,6 +46,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    paths = _tables.get()
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
