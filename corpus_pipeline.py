@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.llm import credentials, decontamination, mixing, resampling, simhash
-from tallywork.llm.common import written
+from tallywork.llm.common import keep_last, scratch_tables, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -76,8 +76,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written and read again as the next one's input."""
+    """All stages in turn, each written and read again as the next one's input.
+
+    Once a stage is written, its input and its own scratch tables are removed:
+    what is left at the end is one table.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    with scratch_tables() as tables:
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+            keep_last(spark, tables)
     return docs
