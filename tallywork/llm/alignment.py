@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import chain
@@ -37,6 +36,8 @@ from tallywork.llm.memo import Memo
 BATCH_ROWS = 128
 #: What a worker remembers of tokenised pieces, and of windows, a generation.
 MEMO_BYTES = 128 << 20
+#: New pieces tokenised at once; one whose bytes are not given has only these compared one by one.
+PIECES_TOGETHER = 512
 #: Pairs of ids whose counts are broadcast: 16 bytes each, and as much again for hashing.
 FREQUENT_PAIRS = 1 << 17
 #: Ids of B in the lower half of a pair.
@@ -47,7 +48,10 @@ _SPACES = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: A blank after something else than white space: no token of A or B reaches across its left side.
 _CUT = re.compile(f"(?<=[^{_SPACES}]) ")
 
+#: Ids of A and of B, as 32-bit integers.
 Window = tuple[bytes, bytes]
+#: Numbers of ids of A and of B, groups, links as 64-bit integers.
+Aligned = tuple[int, int, str, bytes]
 
 
 class Pair:
@@ -69,9 +73,12 @@ class Pair:
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
         #: Pieces of B with a blank behind something else would reach across cuts.
         self.cuts = all(_BLANK not in p.lstrip(_BLANK) for p in pieces)
-        self.sizes = [[len(x) for x in side] for side in (self.a_bytes, self.b_bytes)]
-        self.pieces = Memo(self._tokenised, MEMO_BYTES)
-        self.windows = Memo(lambda windows: [*map(self._aligned, windows)], MEMO_BYTES, 128, lambda w: (len(w[0]) + len(w[1])) // 4)
+        self.sizes = [np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes)]
+        self.most = max(map(len, self.sizes))
+        #: Ids as they stand in groups, by what follows.
+        self.names = [f"{n}{follows}" for follows in ",|;" for n in range(self.most)]
+        self.windows = Memo(self._aligned, MEMO_BYTES, 128, lambda w: (len(w[0]) + len(w[1])) // 4)
+        self.pieces = Memo(self._met, MEMO_BYTES)
 
     def _piece_bytes(self, token: int) -> bytes:
         piece = self.b.id_to_piece(token)
@@ -79,21 +86,70 @@ class Pair:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace(_BLANK, " ").encode()
 
-    def _tokenised(self, pieces: list[str]) -> list[Window | None]:
+    def tokenised(self, pieces: list[str]) -> list[Window | None]:
         """Ids of A and of B for a blank and each piece; None if one of them does not give its bytes."""
-        wholes = [" " + p for p in pieces]
-        a_ids = [e.ids for e in self.a.encode_batch_fast(wholes, add_special_tokens=False)]
-        a_bytes, b_bytes, out = self.a_bytes, self.b_bytes, []
-        for whole, a, b in zip(wholes, a_ids, self.b.encode(pieces, num_threads=1)):
+        told = [(" " + p).encode() for p in pieces]
+        sides = [
+            [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)],
             # B adds a blank of its own, but to nothing it adds nothing.
-            b = b if len(whole) > 1 else [self.b.piece_to_id(_BLANK)]
-            told = whole.encode()
-            exact = b"".join([a_bytes[n] for n in a]) == told == b"".join([b_bytes[n] for n in b])
-            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if exact else None)
+            [ids or [self.b.piece_to_id(_BLANK)] for ids in self.b.encode(pieces, num_threads=1)],
+        ]
+        keys, exact = [], [True] * len(pieces)
+        for ids, tokens, sizes in zip(sides, (self.a_bytes, self.b_bytes), self.sizes):
+            counts = [len(x) for x in ids]
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, sum(counts))
+            ends = np.cumsum(counts)
+            reach = np.concatenate(([0], np.cumsum(sizes[flat])))[ends]
+            whole = b"".join(map(tokens.__getitem__, flat.tolist()))
+            if whole != b"".join(told) or (reach != np.cumsum([len(t) for t in told])).any():
+                exact = [e and b"".join([tokens[n] for n in x]) == t for e, x, t in zip(exact, ids, told)]
+            raw, places = flat.tobytes(), [0, *(4 * ends).tolist()]
+            keys.append([raw[i:j] for i, j in zip(places, places[1:])])
+        return [(a, b) if e else None for e, a, b in zip(exact, *keys)]
+
+    def _met(self, pieces: list[str]) -> list[Aligned | None]:
+        """Each piece as the aligned window of its ids, None where ids do not give its bytes."""
+        found: list[Window | None] = []
+        for start in range(0, len(pieces), PIECES_TOGETHER):
+            found += self.tokenised(pieces[start : start + PIECES_TOGETHER])
+        known = self.windows
+        known.learn([w for w in found if w])
+        return [w and known[w] for w in found]
+
+    def _aligned(self, windows: list[Window]) -> list[Aligned]:
+        """Per window its numbers of ids, its groups as text, and its links as pairs of ids.
+
+        All windows are taken at once, one behind the other. Every token has a
+        byte at least, so one of each side ends at a shared end, and both sides
+        of a window end together.
+        """
+        sides = []
+        for n, sizes in enumerate(self.sizes):
+            flat = np.frombuffer(b"".join([w[n] for w in windows]), np.int32)
+            sides.append((flat, np.cumsum(sizes[flat]), np.cumsum([len(w[n]) // 4 for w in windows])))
+        (a, a_end, a_last), (b, b_end, b_last) = sides
+        met = np.searchsorted(b_end, a_end)
+        a_shuts = b_end[met] == a_end
+        b_at = met[a_shuts]
+        b_shuts = np.zeros(len(b), bool)
+        b_shuts[b_at] = True
+        links = (a[a_shuts].astype(np.int64) << _HALF | b[b_at]).tobytes()
+        # In the text of groups the ids of A in a group come before those of B.
+        names = np.empty(len(a) + len(b), np.int64)
+        b_before = np.concatenate(([0], b_at[:-1] + 1))
+        a_behind = np.flatnonzero(a_shuts) + 1
+        names[np.arange(len(a)) + b_before[np.cumsum(a_shuts) - a_shuts]] = a + self.most * a_shuts
+        names[np.arange(len(b)) + a_behind[np.cumsum(b_shuts) - b_shuts]] = b + 2 * self.most * b_shuts
+        text = [*map(self.names.__getitem__, names.tolist())]
+        shut = np.cumsum(a_shuts)[a_last - 1] * 8
+        out, at, link, a_from, b_from = [], 0, 0, 0, 0
+        for a_to, b_to, link_to in zip(a_last.tolist(), b_last.tolist(), shut.tolist()):
+            out.append((a_to - a_from, b_to - b_from, "".join(text[at : a_to + b_to])[:-1], links[link:link_to]))
+            at, link, a_from, b_from = a_to + b_to, link_to, a_to, b_to
         return out
 
-    def windows_of(self, texts: list[str]) -> Iterator[list[Window]]:
-        """Per text: the ids of A and B for a blank and it, cut at anchors; none if either does not give its bytes.
+    def align(self, texts: list[str]) -> Iterator[Aligned]:
+        """Per text, a blank before it: numbers of ids of A and of B, groups, links; none if either does not give its bytes.
 
         Where both give the bytes of a piece, tokens on both sides end with it
         and a token that begins with a blank comes next: its ends are anchors.
@@ -103,43 +159,11 @@ class Pair:
         known.learn(chain.from_iterable(cut))
         for pieces in cut:
             found = [known[p] for p in pieces]
-            yield [] if None in found else found
-
-    def _aligned(self, window: Window) -> tuple[str, bytes, int, int]:
-        """Groups of a window as text, its links as pairs of ids, and its numbers of ids.
-
-        Every token has a byte at least, so one of each side ends at a shared end.
-        """
-        a, b = (array("i", w).tolist() for w in window)
-        a_length, b_length = self.sizes
-        a_end, b_end = a_length[a[0]], b_length[b[0]]
-        i = j = a_from = b_from = 0
-        groups, links, last = [], [], len(a) - 1
-        while True:
-            if a_end < b_end:
-                i += 1
-                a_end += a_length[a[i]]
-            elif b_end < a_end:
-                j += 1
-                b_end += b_length[b[j]]
-            else:
-                links.append(a[i] << _HALF | b[j])
-                if i == a_from and j == b_from:
-                    groups.append(f"{a[i]}|{b[j]}")
-                else:
-                    groups.append(f"{','.join(map(str, a[a_from:i + 1]))}|{','.join(map(str, b[b_from:j + 1]))}")
-                if i == last:
-                    return ";".join(groups), array("q", links).tobytes(), len(a), len(b)
-                a_from, b_from = i, j = i + 1, j + 1
-                a_end, b_end = a_end + a_length[a[i]], b_end + b_length[b[j]]
-
-    def align(self, texts: list[str]) -> Iterator[tuple[int, int, str, bytes]]:
-        """Per text: numbers of ids of A and of B, groups, links."""
-        known = self.windows
-        for windows in self.windows_of(texts):
-            told = [known[w] for w in windows]
-            yield (sum([a for _, _, a, _ in told]), sum([b for _, _, _, b in told]),
-                   ";".join([g for g, _, _, _ in told]), b"".join([x for _, x, _, _ in told]))
+            if not found or None in found:
+                yield 0, 0, "", b""
+                continue
+            a, b, groups, links = zip(*found)
+            yield sum(a), sum(b), ";".join(groups), b"".join(links)
 
 
 @lru_cache(maxsize=1)
