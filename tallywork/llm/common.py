@@ -73,6 +73,29 @@ def row_key(doc_id: str, text: str) -> list[Column]:
     return [F.col(doc_id).alias("key_id"), F.xxhash64(text_or_empty(F.col(text))).alias("key_text")]
 
 
+#: Bits that ``maybe_among`` broadcasts, whatever they stand for: 8 MB.
+FILTER_BITS = 1 << 26
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows with ``maybe``: false only if their 64-bit ``name`` is not one of the ``keys``.
+
+    Keys set bits in a table of fixed size, which is broadcast, so rows are
+    not shuffled to find out. Of ``n`` keys, other rows hit one by chance with
+    ``n / FILTER_BITS`` at most. Nulls are among no keys. The rows have no
+    columns ``bits``, ``bits_of`` or ``place``.
+    """
+    place = (F.pmod(F.col(name), F.lit(FILTER_BITS)) + 1).alias("place")
+    bits = keys.select(place).groupBy(F.bitmap_bucket_number("place").alias("bits_of"))
+    bits = written(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")), f"{name}_bits")
+    placed = rows.withColumn("place", place)
+    at = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = placed.join(F.broadcast(bits), F.bitmap_bucket_number("place") == F.col("bits_of"), "left")
+    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn("maybe", maybe).drop("place", "bits_of", "bits")
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     """Equality in which a null equals a null."""
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
