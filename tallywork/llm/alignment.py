@@ -1,9 +1,10 @@
 """Cross-tokenizer alignment between whitespace-token anchors.
 
 Two tokenizers cut the same text, a byte-level BPE (A) and a piece model (B).
-Every text is tokenised by both as a whole. Tokens that begin with a blank and
-have their counterpart at the same byte are verified anchors: both sequences
-have an end there. Anchors split a document into windows of ids of A and B,
+Neither joins what a blank behind other text parts, so whole texts are
+tokenised as pieces between such blanks, each remembered. Tokens that begin
+with a blank and have their counterpart at the same byte are verified anchors:
+both sequences have an end there. Anchors split a document into windows of ids of A and B,
 and a window is aligned once for each pair of id tuples a worker meets.
 
 Within a window, ends that A and B share cut the tokens into groups, and
