@@ -7,7 +7,6 @@ Outputs are laid out as ``<out>/job=<job>/range=<first>-<last>``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,13 @@ from pyspark.sql import functions as F
 from tallywork.functions import rules
 from tallywork.operators import counts, prefix, select, tokens
 from tallywork.session import remove_path, scratch_path
-from tallywork.sinks import layout_path, write_by_range, write_counts, write_top
+from tallywork.sinks import (
+    layout_path,
+    write_by_range,
+    write_counts,
+    write_spans_by_range,
+    write_top,
+)
 from tallywork.sources import dealt, read_pair_counts, read_sources, read_token_counts
 
 
@@ -107,6 +112,7 @@ def run_series(
     n: int = rules.COUNT_WANTED,
     k: int = rules.TOP_K,
     partitions: int | None = None,
+    compression: str | None = None,
 ) -> None:
     """All six jobs for the first source, the first two, and so on to all of them.
 
@@ -124,12 +130,12 @@ def run_series(
         kept = scratch_path(spark, f"{parent}_spans")
         count_job.spans(count_job.rows(lines), len(sources) - 1).write.parquet(kept)
         spans = spark.read.parquet(kept)
-        write = partial(write_by_range, sources=sources, form=form)
-        write(prefix.by_step(spans), f"{out}/job={parent}")
+        how = {"sources": sources, "form": form, "compression": compression}
+        write_spans_by_range(spans, f"{out}/job={parent}", **how)
         for name, job in SELECT_JOBS.items():
             if job.parent == parent:
                 rows = job.by_step(spans, k if job.is_top else n)
-                write(rows, f"{out}/job={name}", top=job.is_top)
+                write_by_range(rows, f"{out}/job={name}", top=job.is_top, **how)
         remove_path(spark, kept)
 
 

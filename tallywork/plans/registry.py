@@ -17,7 +17,7 @@ from tallywork.functions import rules
 from tallywork.operators import counts as cnt
 from tallywork.operators import prefix, select, stats, tokens
 from tallywork.plans import jobs
-from tallywork.session import scratch_path, text_partitions
+from tallywork.session import remove_path, scratch_path, text_partitions
 from tallywork.sinks import write_counts, write_top
 from tallywork.sources import (
     dealt,
@@ -156,7 +156,8 @@ def write_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus, out = written_corpus(spark, sf_dir), scratch_path(spark, "series")
     names = source_names(spark, sf_dir)
-    jobs.run_series(spark, corpus, names, out, n=COUNT_WANTED)
+    jobs.run_series(spark, corpus, names, out, n=COUNT_WANTED, compression="gzip")
+    remove_path(spark, corpus)
     return _read_layout(spark, out)
 
 

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions import pair_key, rules
+from tallywork.session import path_exists
 from tallywork.sources.counts import FORMS
 
+# What Spark's own partitioned writers encode in the name of a folder.
+_ENCODED = {chr(c) for c in (*range(1, 32), 127)} | set("\"#%'*/:=?\\{[]^")
+
 
 def key_of(counts: DataFrame) -> Column:
     """The rendered key of a token or pair count table."""
@@ -70,13 +75,18 @@ def layout_path(base: str, job: str, sources: Sequence[str]) -> str:
 
 
 def write_by_range(
-    steps: DataFrame, path: str, sources: Sequence[str], form: str = "tsv", top: bool = False
+    steps: DataFrame,
+    path: str,
+    sources: Sequence[str],
+    form: str = "tsv",
+    top: bool = False,
+    compression: str | None = None,
 ) -> None:
     """Write rows with a ``step`` into one ``range=`` directory per step.
 
     Step s covers the first s + 1 of the ordered sources. Rows go out in key
-    order within each part. Top lists, which are small, go out as one file per
-    range in rank order.
+    order within each part. Top lists, which are small, go out as one plain
+    file per range in rank order.
     """
     names = [F.lit(range_name(sources[: s + 1])) for s in range(len(sources))]
     rows = steps.select(
@@ -89,4 +99,30 @@ def write_by_range(
         rows = rows.hint("rebalance", "range").sortWithinPartitions("range", "key")
     rows.select("range", render(F.col("key"), F.col("cnt"), form).alias("value")).write.mode(
         "errorifexists"
-    ).partitionBy("range").text(path)
+    ).partitionBy("range").text(path, compression=None if top else compression)
+
+
+def write_spans_by_range(
+    spans: DataFrame,
+    path: str,
+    sources: Sequence[str],
+    form: str = "tsv",
+    compression: str | None = None,
+) -> None:
+    """Write the counts that spans stand for into one ``range=`` directory per step.
+
+    The directories and rows are those of ``write_by_range`` for the steps
+    spelled out. As spans cover up to all steps, those are many times their
+    rows, and never shuffled here: each step is a job that reads the spans and
+    writes what they say of it, with one part per task. ``spans`` should be a
+    table, as it is read once per step.
+    """
+    if path_exists(spans.sparkSession, path):
+        raise AnalysisException(f"{path} already exists")
+    rows = spans.select("first_step", "last_step", key_of(spans).alias("key"), "cnt")
+    for step in range(len(sources)):
+        held = rows.where(F.lit(step).between(F.col("first_step"), F.col("last_step")))
+        name = "".join(f"%{ord(c):02X}" if c in _ENCODED else c for c in range_name(sources[: step + 1]))
+        held.sortWithinPartitions("key").select(
+            render(F.col("key"), F.col("cnt"), form).alias("value")
+        ).write.mode("errorifexists").text(f"{path.rstrip('/')}/range={name}", compression=compression)

@@ -253,3 +253,36 @@ def test_a_long_top_list_is_never_cut_without_k(spark, tmp_path):
         write_top(top, str(tmp_path / "t"))
     write_top(top, str(tmp_path / "t"), k=101)
     assert len(part_lines(tmp_path / "t")[0]) == 101
+
+
+def shuffled_rows(spark, tmp_path, monkeypatch, sources):
+    """The rows that ``run_series`` hands to a partitioned writer, by output."""
+    handed, write = {}, jobs.write_by_range
+
+    def counted(steps, path, *args, **kwargs):
+        handed[path.rsplit("=", 1)[1]] = steps.count()
+        write(steps, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_by_range", counted)
+    for i, name in enumerate(sources):
+        put(tmp_path / "c" / name / "f.txt", f"history museum {1000 + i}\n")
+    jobs.run_series(spark, str(tmp_path / "c"), sources, str(tmp_path / "out"), n=1, k=2, compression="gzip")
+    return handed
+
+
+def test_counts_of_a_series_are_written_compressed_and_not_by_a_shuffle(spark, tmp_path, monkeypatch):
+    sources = ["A#A", "A%B", "A C", "é"]
+    assert set(shuffled_rows(spark, tmp_path, monkeypatch, sources)) == set(jobs.SELECT_JOBS)
+    out = tmp_path / "out"
+    for job in jobs.COUNT_JOBS:
+        names = sorted(p.name for p in (out / f"job={job}").glob("range=*"))
+        # The folders that Spark's partitioned writer makes.
+        assert names == sorted(["range=A%23A-A%23A", "range=A%23A-A%25B", "range=A%23A-A C", "range=A%23A-é"])
+        parts = [p for p in (out / f"job={job}").glob("range=*/part-*")]
+        assert parts and all(p.suffix == ".gz" for p in parts)
+    read = spark.read.text(str(out / "job=token_counts"))
+    assert rows(read.where(F.col("range") == "A#A-A%B").select("value")) == [("1000\t1",), ("1001\t1",), ("history\t2",), ("museum\t2",)]
+    # Top lists stay plain.
+    assert [p for p in (out / "job=top_words").glob("range=*/part-*") if p.suffix == ".gz"] == []
+    with pytest.raises(AnalysisException):
+        jobs.run_series(spark, str(tmp_path / "c"), sources, str(out))
