@@ -17,7 +17,7 @@ from tallywork.functions import rules
 from tallywork.operators import counts as cnt
 from tallywork.operators import prefix, select, stats, tokens
 from tallywork.plans import jobs
-from tallywork.session import remove_path, scratch_path, text_partitions
+from tallywork.session import in_small_splits, remove_path, scratch_path, text_partitions
 from tallywork.sinks import write_counts, write_top
 from tallywork.sources import (
     dealt,
@@ -42,8 +42,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def documents(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
-    scan = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", *others)
-    return dealt(scan, text_partitions(spark))
+    def read(session: SparkSession) -> DataFrame:
+        return session.read.parquet(f"{sf_dir}/documents.parquet").select("text", *others)
+
+    return dealt(in_small_splits(spark, read), text_partitions(spark))
 
 
 def lines(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import rules
+from tallywork.session import in_small_splits
 
 
 def _path_list(paths: str | Sequence[str]) -> list[str]:
@@ -50,12 +51,15 @@ def read_sources(
 ) -> DataFrame:
     """Lines of the chosen sub-directories of a corpus as ``value``, ``source``.
 
-    Only the chosen directories are listed and read.
+    Only the chosen directories are listed and read, in splits small enough
+    for their pairs to be counted in memory.
     """
     base = base.rstrip("/")
     source = _source_of(spark, F.col("_metadata.file_path"), base)
-    lines = read_lines(spark, [f"{base}/{name}" for name in sources], recursive)
-    return lines.select("value", source.alias("source"))
+    paths = [f"{base}/{name}" for name in sources]
+    return in_small_splits(
+        spark, lambda session: read_lines(session, paths, recursive).select("value", source.alias("source"))
+    )
 
 
 def split_lines(documents: DataFrame, text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tallywork import session
 from tallywork.plans import jobs
 from tallywork.sinks import layout_path, write_counts, write_top
 from tallywork.sources import (
@@ -286,3 +287,13 @@ def test_counts_of_a_series_are_written_compressed_and_not_by_a_shuffle(spark, t
     assert [p for p in (out / "job=top_words").glob("range=*/part-*") if p.suffix == ".gz"] == []
     with pytest.raises(AnalysisException):
         jobs.run_series(spark, str(tmp_path / "c"), sources, str(out))
+
+
+def test_tasks_that_count_pairs_get_small_splits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "COUNTED_MIB", 1)
+    put(tmp_path / "c" / "AA" / "f.txt", "history museum 1234\n" * (3 << 16))
+    before = spark.conf.getAll
+    lines = read_sources(spark, str(tmp_path / "c"), ["AA"])
+    assert lines.sparkSession is spark and spark.conf.getAll == before
+    assert lines.select(F.spark_partition_id()).distinct().count() >= 3
+    assert lines.distinct().collect() == [("history museum 1234", "AA")] and lines.count() == 3 << 16

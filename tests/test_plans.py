@@ -108,3 +108,7 @@ def test_scratch_folder_follows_the_session(spark):
     assert first.startswith("hdfs://nn/shared/x-") and first != second
     unset = Settings("yarn", **{"spark.sql.warehouse.dir": "hdfs://nn/warehouse"})
     assert scratch_path(unset, "x").startswith("hdfs://nn/warehouse/scratch/x-")
+
+
+def test_spans_are_sorted_by_a_hash_first(spark, capsys):
+    assert re.search(r"Sort \[_w\d+#\d+L ASC", plan(spark, "prefix_pair_counts", capsys))
