@@ -115,3 +115,70 @@ def test_one_block_is_held_at_a_time(spark, leaky, monkeypatch):
     for name in ("leaks", "leaking"):
         counts = [n for k, n in alive.items() if k.rstrip("0123456789") == name]
         assert len(counts) > 1 and set(counts) == {1}
+
+
+def plain_passages(texts):
+    """All passages of the texts, each as the buckets of its words."""
+    rows = []
+    for text in texts:
+        at = d.codes_of(text) % d.BUCKETS
+        rows += [at[b : b + d.PASSAGE_WORDS] for b in range(0, len(at), d.BLOCK_WORDS)]
+    return rows
+
+
+def test_texts_coded_together_equal_single_ones():
+    texts = ["", None, "Ä b", "x" * 70_000 + " y", *(r[1] for r in tables.ODD), *(r[1] for r in tables.some_documents())]
+    together = [codes for some in d.codes_together(texts) for codes in some]
+    assert [c.tolist() for c in together] == [d.codes_of(t).tolist() for t in texts]
+
+
+def test_products_of_texts_equal_the_dense_matrix_of_all_passages(spark, monkeypatch):
+    monkeypatch.setattr(d, "BLOCKS_TOGETHER", 7)
+    monkeypatch.setattr(d, "PIECE", 3)
+    rows = [*tables.some_documents(30), *tables.ODD]
+    kinds = spark.createDataFrame([("benchmark" if i % 3 else "corpus", r[1]) for i, r in enumerate(rows) if r[0] != 7], "kind string, whole string")
+    coded = kinds.coalesce(2).mapInPandas(d._coded, "kind string, words binary")
+    weights = {"corpus": 1.0, "benchmark": 2.0}
+    rng = np.random.default_rng(1)
+    idf, basis = rng.random(d.BUCKETS) + 0.5, rng.standard_normal((d.BUCKETS, 5))
+    a = []
+    for kind, text in kinds.collect():
+        for w in plain_passages([text]):
+            a.append(np.zeros(d.BUCKETS))
+            np.add.at(a[-1], w, idf[w] * weights[kind] / np.sqrt((idf[w] ** 2).sum()))
+    a = np.array(a)
+    assert np.allclose(d._summed(coded, idf, basis, weights, False, True), a.T @ (a @ basis), rtol=1e-3, atol=1e-3)
+    assert np.allclose(d._summed(coded, idf, basis, weights, True, True), (a @ basis).T @ (a @ basis), rtol=1e-3, atol=1e-2)
+
+
+def test_the_space_is_fitted_on_all_passages(spark):
+    rng = random.Random(5)
+    words = [a + b for a in tables.WORDS for b in ("", "a", "o", "u")]
+    share = [1 / (i + 1) for i in range(len(words))]
+    # More passages than the 20,000 that once were drawn.
+    texts = [" ".join(rng.choices(words, share, k=rng.randint(500, 620))) for _ in range(650)]
+    items = [(i, " ".join(rng.choices(words, k=40))) for i in range(20)]
+    docs = tables.documents(spark, [tables.row(i, t) for i, t in enumerate(texts)])
+    space = d.fit_space(docs, spark.createDataFrame(items, tables.BENCHMARK))
+
+    used = np.unique(np.concatenate([d.codes_of(w) for w in words]) % d.BUCKETS)
+    seen = np.array([[np.isin(used, d.codes_of(t) % d.BUCKETS)] for t in texts]).sum(axis=(0, 1))
+    idf = np.log((len(texts) + 1) / (seen + 1)) + 0.1
+    parts = []
+    for some in (plain_passages(texts), plain_passages(t for _, t in items)):
+        a = np.zeros((len(some), len(used)))
+        for row, w in zip(a, some):
+            np.add.at(row, np.searchsorted(used, w), 1.0)
+        # A word that comes twice counts twice in the length.
+        parts.append(a * idf / np.sqrt(a @ idf**2)[:, None])
+    corpus, benchmark = parts
+    assert len(corpus) > 20_000
+    both = np.vstack([corpus, benchmark * np.sqrt(len(corpus) / len(benchmark))])
+    basis = np.random.default_rng(d.SEED).standard_normal((d.BUCKETS, d.RANK + d.EXTRA), np.float32)[used]
+    for _ in range(d.POWER_STEPS):
+        basis = np.linalg.qr(both.T @ (both @ basis))[0]
+    leading = basis @ np.linalg.eigh((both @ basis).T @ (both @ basis))[1][:, ::-1][:, : d.RANK]
+    spread, axes = np.linalg.eigh((corpus @ leading).T @ (corpus @ leading))
+    rows = leading @ axes / np.sqrt(np.maximum(spread, 0) + d.FLOOR * spread.mean()) * idf[:, None]
+    expected, got = rows @ rows.T, space.rows[used] @ space.rows[used].T
+    assert np.abs(got - expected).max() < 0.003 * np.abs(expected).max()
