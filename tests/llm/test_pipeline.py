@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from tallywork.llm import credentials, decontamination, mixing, resampling, simhash
 from tests.llm import tables
 from tests.llm.test_boosting import junk
@@ -74,3 +76,23 @@ def test_odd_and_empty_tables(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{empty}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/empty2/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty2").isEmpty()
+
+
+def test_the_leak_stage_fits_its_space_on_all_passages(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    rows = [tables.row(i, tables.prose(rng, rng.randint(480, 620))) for i in range(640)]
+    rows += [tables.row(1, None), tables.row(None, "one more"), tables.row(2, ""), rows[0]]
+    sf_dir = write(spark, tmp_path, rows, [(1, tables.prose(rng, 40))])
+    fitted, sizes = decontamination._fitted, []
+
+    def counted(coded):
+        sizes.append({k: n for k, n in coded.groupBy("kind").agg(F.sum(F.octet_length("words"))).collect()})
+        return fitted(coded)
+
+    monkeypatch.setattr(decontamination, "_fitted", counted)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert corpus_pipeline.drop_leaks(spark, docs, sf_dir).count() == len(rows)
+    blocks = sum(-(-len((r[1] or "").split()) // decontamination.BLOCK_WORDS) for r in rows)
+    # More than the 20,000 passages that once were drawn.
+    assert blocks > 20_000
+    assert sizes == [{"corpus": 32 * blocks, "benchmark": 32 * 3}]
