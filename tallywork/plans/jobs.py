@@ -131,7 +131,7 @@ def run_series(
         count_job.spans(count_job.rows(lines), len(sources) - 1).write.parquet(kept)
         spans = spark.read.parquet(kept)
         how = {"sources": sources, "form": form, "compression": compression}
-        write_spans_by_range(spans, f"{out}/job={parent}", **how)
+        write_spans_by_range(spark, kept, f"{out}/job={parent}", **how)
         for name, job in SELECT_JOBS.items():
             if job.parent == parent:
                 rows = job.by_step(spans, k if job.is_top else n)

@@ -202,10 +202,9 @@ def read_odd_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_layout(spark: SparkSession, out: str) -> DataFrame:
-    fields = F.split("value", "\t")
-    return spark.read.text(out).select(
-        "job", "range", fields[0].alias("key"), fields[1].cast("bigint").alias("cnt")
-    )
+    # A line has one tab. Cut there, it need not be turned into an array first.
+    key, cnt = (F.substring_index("value", "\t", n) for n in (1, -1))
+    return spark.read.text(out).select("job", "range", key.alias("key"), cnt.cast("bigint").alias("cnt"))
 
 
 # Projections and predicates.

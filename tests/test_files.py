@@ -1,5 +1,6 @@
 """Sources and sinks on files in a fresh folder."""
 
+import gzip
 import random
 import re
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tallywork import session
 from tallywork.plans import jobs
-from tallywork.sinks import layout_path, write_counts, write_top
+from tallywork.sinks import counts as sinks_counts
+from tallywork.sinks import layout_path, write_counts, write_spans_by_range, write_top
 from tallywork.sources import (
     dealt,
     read_csv_table,
@@ -289,6 +291,56 @@ def test_counts_of_a_series_are_written_compressed_and_not_by_a_shuffle(spark, t
         jobs.run_series(spark, str(tmp_path / "c"), sources, str(out))
 
 
+def spans_table(spark, tmp_path, n=4000):
+    """Spans of tokens in no order, and the lines of each of five steps."""
+    spans = spark.range(n).selectExpr(
+        "concat('token', lpad(cast(hash(id) & 65535 as string), 5, '0'), '_', id) AS token",
+        "cast(id % 5 as int) AS first_step", "cast(4 - id % 3 as int) AS last_step", "id % 7 + 1 AS cnt",
+    )
+    spans.repartition(3).write.parquet(str(tmp_path / "spans"))
+    found = spans.collect()
+    return str(tmp_path / "spans"), [sorted((r[0], r[3]) for r in found if r[1] <= s <= r[2]) for s in range(5)]
+
+
+@pytest.mark.parametrize("form", ["tsv", "tuple"])
+@pytest.mark.parametrize("together", [2, 32])
+def test_spans_are_spelled_out_in_key_order_by_few_jobs(spark, tmp_path, monkeypatch, form, together):
+    monkeypatch.setattr(sinks_counts, "STEPS_TOGETHER", together)
+    table, expected = spans_table(spark, tmp_path)
+    sources, before = ["A", "B", "C", "D", "E"], spark.conf.getAll
+    write_spans_by_range(spark, table, str(tmp_path / "out"), sources, form, "gzip")
+    assert spark.conf.getAll == before
+    for s, name in enumerate(sources):
+        parts = []
+        for path in sorted((tmp_path / "out" / f"range=A-{name}").glob("part-*")):
+            assert path.name.endswith(".txt.gz")
+            lines = gzip.decompress(path.read_bytes()).decode().splitlines()
+            parts.append([tuple(x.strip("()").replace(",", "\t").split("\t")) for x in lines])
+        assert all(part == sorted(part) for part in parts)
+        assert sorted((k, int(n)) for part in parts for k, n in part) == expected[s]
+        shape = r"\(\w+,\d+\)" if form == "tuple" else r"\w+\t\d+"
+        assert spark.read.text(str(tmp_path / "out" / f"range=A-{name}")).where(~F.col("value").rlike(f"^{shape}$")).isEmpty()
+
+
+def test_spans_are_read_once_for_all_steps(spark, tmp_path, monkeypatch):
+    table, _ = spans_table(spark, tmp_path)
+    reads, writer = [], type(spark.range(0).write)
+    for name in ("text", "csv"):
+        monkeypatch.setattr(writer, name, lambda self, path, *a, f=getattr(writer, name), **b: (reads.append(path), f(self, path, *a, **b)) and None)
+    write_spans_by_range(spark, table, str(tmp_path / "out"), ["A", "B", "C", "D", "E"], "tsv", "gzip")
+    assert len(reads) == 1
+
+
+def test_a_step_without_rows_has_a_folder_and_ranges_are_never_mixed(spark, tmp_path):
+    spans = spark.createDataFrame([("late", 2, 2, 5)], "token string, first_step int, last_step int, cnt bigint")
+    spans.write.parquet(str(tmp_path / "spans"))
+    write_spans_by_range(spark, str(tmp_path / "spans"), str(tmp_path / "out"), ["A#", "B", "C"], "tsv", "gzip")
+    assert sorted(p.name for p in (tmp_path / "out").glob("range=*")) == ["range=A%23-A%23", "range=A%23-B", "range=A%23-C"]
+    assert rows(spark.read.text(str(tmp_path / "out")).select("range", "value")) == [("A#-C", "late\t5")]
+    with pytest.raises(AnalysisException):
+        write_spans_by_range(spark, str(tmp_path / "spans"), str(tmp_path / "twice"), ["A", "A"], "tsv")
+
+
 def test_tasks_that_count_pairs_get_small_splits(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "COUNTED_MIB", 1)
     put(tmp_path / "c" / "AA" / "f.txt", "history museum 1234\n" * (3 << 16))
